@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import linededup, packing, quality, sharding, urlfilter
+from . import bpe, linededup, ngramjoin, packing, quality, sharding, urlfilter
 from .common import table
 
 
@@ -14,6 +14,22 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.ngram_components(table(spark, sf_dir, "documents"))
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_digests(table(spark, sf_dir, "documents"), min_docs=10)
 
@@ -38,11 +54,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
+    "op2_bpe": op2_bpe,
     "op3_line_dedup": op3_line_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_pack": op5_pack,
     "op9_shard": op9_shard,
     "op10_quality": op10_quality,
+    "pipeline": pipeline,
 }
 
 ORACLE_SQL: dict[str, str] = {}
