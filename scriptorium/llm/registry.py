@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, linededup, ngramjoin, packing, quality, sharding, urlfilter
+from . import bpe, embed, linededup, ngramjoin, packing, quality, sharding, urlfilter
 from .common import table
 
 
@@ -42,6 +42,10 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digests(table(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_pack": op5_pack,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op9_shard": op9_shard,
     "op10_quality": op10_quality,
     "pipeline": pipeline,
