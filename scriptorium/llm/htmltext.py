@@ -4,7 +4,7 @@ For every DOM node the link-adjusted density is characters per tag, weighted dow
 more of them stand in links; a node's density sum adds its children's densities.  The
 node of the largest sum holds the article.  The least density on its path to the body is
 the threshold: what else stands in the same article (or, without one, headings beside the
-subtree) is kept if it is as dense.  Menus, headers, footers, sidebars, notices, adverts,
+subtree) is kept if it is as dense or not mostly links.  Menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments are known by their element, role, class or id
 and count nowhere.
 
@@ -44,6 +44,8 @@ ENDS = {
 }
 #: Elements that hold implied ends within themselves.
 SCOPE = frozenset("html body div article section main table ul ol dl td th blockquote header footer aside nav form button object".split())
+#: Elements that hold one block of text; the subtree chosen is the one around them.
+LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr tbody thead pre figcaption caption address".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 NOISE = frozenset(
@@ -176,6 +178,8 @@ def _select(dom: Dom) -> list[bool]:
     best = max((i for i in range(n) if not gone[i]), key=lambda i: (total[i], -i), default=0)
     if not total[best]:  # text without any element around it
         best = 0
+    while best and (tag[best] in INLINE or tag[best] in LEAF):
+        best = parent[best]
     least, at, home = dense[best], best, None
     while at > 0:
         least = min(least, dense[at])
@@ -198,7 +202,8 @@ def _select(dom: Dom) -> list[bool]:
         if keep[p]:
             keep[i] = True
         elif near[p] and not keep[i] and i not in path:
-            keep[i] = tag[i] in HEADINGS if home is None else dense[i] >= least or tag[i] in HEADINGS or tag[p] in INLINE
+            linked = 2 * link_chars[i] > chars[i]
+            keep[i] = tag[i] in HEADINGS if home is None else dense[i] >= least or not linked
     if home is not None:
         for node in path:  # text of the article's own nodes around the subtree
             keep[node] = keep[node] or near[node]

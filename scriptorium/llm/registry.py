@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embed, linededup, ngramjoin, packing, quality, sharding, urlfilter
+from . import bpe, embed, htmltext, linededup, ngramjoin, packing, quality, sharding, toolchat, urlfilter
 from .common import table
 
 
@@ -46,6 +46,14 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.page_texts(table(spark, sf_dir, "pages"))
+
+
+def op8_tool_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toolchat.tool_chat(toolchat.turns_as_tools(table(spark, sf_dir, "conversations")))
+
+
 def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digests(table(spark, sf_dir, "documents"))
 
@@ -64,9 +72,13 @@ QUERIES = {
     "op4_url_filter": op4_url_filter,
     "op5_pack": op5_pack,
     "op6_embedding_dedup": op6_embedding_dedup,
+    "op7_html_text": op7_html_text,
+    "op8_tool_chat": op8_tool_chat,
     "op9_shard": op9_shard,
     "op10_quality": op10_quality,
     "pipeline": pipeline,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_tool_chat": toolchat.SQL,
+}
