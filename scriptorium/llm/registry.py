@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embed, htmltext, linededup, ngramjoin, packing, quality, sharding, toolchat, urlfilter
+from . import bpe, embed, htmltext, linededup, ngramjoin, packing, quality, sharding, sqltext, toolchat, urlfilter
 from .common import table
 
 
@@ -80,5 +80,10 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_ngram_join": sqltext.NGRAM_JOIN,
+    "op3_line_dedup": sqltext.LINE_DEDUP,
+    "op4_url_filter": sqltext.url_filter(),
+    "op6_embedding_dedup": sqltext.EMBEDDING_DEDUP,
     "op8_tool_chat": toolchat.SQL,
+    "op10_quality": sqltext.quality_rules(),
 }
