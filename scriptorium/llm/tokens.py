@@ -21,23 +21,26 @@ class PieceCache:
     pieces are kept; beyond that, pieces are encoded batch by batch without being kept.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 400_000):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 1_000_000):
         self.encode, self.limit, self.known = encode, limit, {}
 
     def encode_texts(self, texts: list[str]) -> list[bytes]:
-        cut = [self._cut(t) for t in texts]
         known = self.known
-        missing = {p for pieces in cut for p in pieces if p not in known}
-        extra: dict[str, bytes] = {}
+        cut = [self._cut(t) for t in texts]
+        found = [list(map(known.get, pieces)) for pieces in cut]
+        missing: dict[str, bytes] = {}
+        for pieces, ids in zip(cut, found):
+            if None in ids:
+                missing.update((p, b"") for p, x in zip(pieces, ids) if x is None)
         if missing:
             order = list(missing)
-            ids = self.encode(order)
-            room = self.limit - len(known)
-            known.update(zip(order[:room], ids[:room])) if room > 0 else None
-            extra = dict(zip(order[max(room, 0) :], ids[max(room, 0) :]))
-        if not extra:
-            return [b"".join([known[p] for p in pieces]) for pieces in cut]
-        return [b"".join([known[p] if p in known else extra[p] for p in pieces]) for pieces in cut]
+            missing.update(zip(order, self.encode(order)))
+            room = max(0, self.limit - len(known))
+            known.update((p, missing[p]) for p in order[:room])
+            for pieces, ids in zip(cut, found):
+                if None in ids:
+                    ids[:] = [missing[p] if x is None else x for p, x in zip(pieces, ids)]
+        return [b"".join(ids) for ids in found]
 
     @staticmethod
     def _cut(text: str) -> list[str]:
