@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import hash01
+from ..scratch import Scratch
 
 
 def draw(seed: int, index: Column, slot: str) -> Column:
@@ -90,7 +91,8 @@ def pick_tokens(spark: SparkSession, tokens: DataFrame, count: int, seed: int, t
     number (one number a partition on the driver), then draws and tokens meet by number.
     """
     ranged = tokens.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order) if order else tokens
-    numbered = ranged.select(F.col(token).alias("token"), F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("mono"))
+    # Written once: a range partitioning that is done again draws other bounds.
+    numbered = Scratch(spark, "tokens").write(ranged.select(F.col(token).alias("token"), F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("mono")))
     sizes = {r["part"]: r["n"] for r in numbered.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(sizes.values())
     if not total:

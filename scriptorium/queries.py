@@ -659,12 +659,12 @@ def sca_sparse_json(spark, sf_dir):
 
 @query(
     """select l_orderkey, l_linenumber, l_partkey, l_suppkey, round(a * b, 14) as multiply, round(1 - (1 - a) * (1 - b), 14) as screen, round(case when a <= 0.5 then 2 * a * b else 1 - 2 * (1 - a) * (1 - b) end, 14) as overlay,
-  round(case when b <= 0.5 then 2 * a * b else 1 - 2 * (1 - a) * (1 - b) end, 14) as hard_light, round(0.299 * a + 0.587 * b + 0.114 * a, 9) as grey from (select l_orderkey, l_linenumber, l_partkey, l_suppkey, (l_partkey % 256) / 256.0::double as a, (l_suppkey % 64) / 64.0::double as b from lineitem)"""
+  round(case when b <= 0.5 then 2 * a * b else 1 - 2 * (1 - a) * (1 - b) end, 14) as hard_light, round(0.299 * a + 0.587 * b + 0.114 * a, 11) as grey from (select l_orderkey, l_linenumber, l_partkey, l_suppkey, (l_partkey % 256) / 256.0::double as a, (l_suppkey % 64) / 64.0::double as b from lineitem)"""
 )
 def sca_blend(spark, sf_dir):
     i = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", ((F.col("l_partkey") % 256) / 256.0).alias("a"), ((F.col("l_suppkey") % 64) / 64.0).alias("b"))
     modes = [F.round(S.blend(m, F.col("a"), F.col("b")), 14).alias(m) for m in ("multiply", "screen", "overlay", "hard_light")]
-    return i.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *modes, F.round(S.luminosity(F.col("a"), F.col("b"), F.col("a")), 9).alias("grey"))
+    return i.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *modes, F.round(S.luminosity(F.col("a"), F.col("b"), F.col("a")), 11).alias("grey"))
 
 
 # ------------------------------------------------------------ sampling
