@@ -1,12 +1,13 @@
-"""Shared plumbing: table reads, scratch tables in the shared folder, byte helpers."""
+"""Shared plumbing: table reads, scratch tables in the shared folder, constants."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from ..scratch import Scratch
+
+__all__ = ["SPACE", "SPACE_BYTES", "Scratch", "column_of", "table"]
+
 #: White space of the word and line contracts, as a regex class body.
 SPACE = r"\x20\x09-\x0D"
 #: The same characters for ``bytes.strip``.
@@ -17,45 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-class Scratch:
-    """Parquet tables under ``spark.checkpoint.dir`` that cut a plan's lineage.
-
-    Every executor and the driver see that folder, so a lost executor loses no
-    intermediate result.  Only where the setting is absent (tests, a laptop) does
-    the driver's own temporary folder serve instead.
-    """
-
-    def __init__(self, spark: SparkSession, label: str):
-        self.spark = spark
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            base = "file://" + tempfile.mkdtemp(prefix="scriptorium-")
-        self.root = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-        self._n = 0
-
-    def write(self, df: DataFrame, label: str = "t") -> DataFrame:
-        return self.spark.read.schema(df.schema).parquet(self.write_path(df, label))
-
-    def write_path(self, df: DataFrame, label: str = "t") -> str:
-        self._n += 1
-        path = f"{self.root}/{self._n:04d}-{label}"
-        df.write.parquet(path)
-        return path
-
-    def read(self, path: str) -> DataFrame:
-        return self.spark.read.parquet(path)
-
-    def drop(self, path: str) -> None:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-    def drop_df(self, df: DataFrame) -> None:
-        """Remove a table that ``write`` returned and no later plan reads."""
-        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            if path.startswith((self.root, self.root.replace("file://", "file:"))):
-                self.drop(path)
-
-
 def column_of(df: DataFrame, base: str) -> str:
     """``base`` or, where the input already has that column, a free variant of it."""
     names = {c.lower() for c in df.columns}
