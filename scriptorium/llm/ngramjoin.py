@@ -6,11 +6,13 @@
    first.  Two sets with Jaccard >= t share a shingle among the first n - ceil(t n) + 1
    of either, whatever the order, so the sketch's error costs time and never a link.
 3. Prefix shingles are counted; those of a single class are gone from here on.
-4. Links are looked for in rounds.  A round pairs every class with the centre of each of
-   its prefix shingles (never all with all), drops pairs by length, by position and by
-   suffix, verifies the rest exactly and merges components.  Afterwards only shingles
-   whose classes are still in different components are of interest; the last round
-   pairs exactly those across components.  A pair left out is in one component already.
+4. Links are looked for in rounds.  The first pairs every class with the centre of each of
+   its prefix shingles (never all with all): the class with the fewest shingles of its
+   own, in a group of near copies the text they were made from.  Pairs are dropped by
+   length, by position and by suffix, the rest is verified exactly, and components merge.
+   ``rounds`` more may follow with ``hubs`` other centres each.  Afterwards only shingles
+   whose classes are still in different components are of interest; the last round pairs
+   exactly those across components.  A pair left out is in one component already.
    So components are exact and a group of g near copies costs about g pairs.
 
 Defined results
@@ -31,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Scratch
@@ -38,7 +41,7 @@ from .graph import components
 
 PERCENT, WORDS = 80, 5
 #: Buckets of the frequency sketch: its size, 1 byte each, is all that is broadcast.
-WIDTH, CHUNK = 1 << 20, 1 << 16
+WIDTH, CHUNK = 1 << 22, 1 << 18
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 _N_BITS = 20
 
@@ -108,9 +111,9 @@ def _classes(rows: int = 512):
                     s = shingles(words)
                     key, i = class_of(words, len(s))
                     ns.append(len(s)), keys.append(key if len(s) else None), ids.append(i)
-                    waiting.append((s & np.uint64(WIDTH - 1)).astype(np.int64))
+                    waiting.append((s & np.uint64(WIDTH - 1)).astype(np.int32))
                     room += len(s)
-                if room > 2 * WIDTH:
+                if room > WIDTH:
                     counts += np.bincount(np.concatenate(waiting), minlength=WIDTH)
                     waiting, room = [], 0
                 n = batch.num_rows
@@ -196,7 +199,7 @@ def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray],
         return False
     first = int(np.argmin(ia))
     i, j = int(ia[first]), int(ib[first])
-    if min(i, j) + 1 + min(na - i - 1, nb - j - 1) < need:
+    if min(na - i, nb - j) < need:  # nothing is shared before the first shared one
         return False
     # The middle of b's suffix halves both suffixes; sizes that differ can't match.
     ra, rb = ka[i + 1 :], kb[j + 1 :]
@@ -204,7 +207,7 @@ def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray],
         w = rb[len(rb) // 2]
         la, lb = int(np.searchsorted(ra, w)), int(np.searchsorted(rb, w))
         apart = abs(la - lb) + abs((len(ra) - la) - (len(rb) - lb))
-        if min(i, j) + 1 + (len(ra) + len(rb) - apart) // 2 < need:
+        if 1 + (len(ra) + len(rb) - apart) // 2 < need:
             return False
     both = len(np.intersect1d(sa, sb, assume_unique=True))
     return 100 * both >= percent * (na + nb - both)
@@ -225,8 +228,8 @@ def _fits(a: str, b: str, percent: int):
 
 
 class NgramJoin:
-    def __init__(self, docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text: str = "text", star_rounds: int = 2):
-        self.percent, self.star_rounds = percent, star_rounds
+    def __init__(self, docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text: str = "text", rounds: int = 0, hubs: int = 4):
+        self.percent, self.rounds, self.hubs = percent, rounds, hubs
         self.docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
         self.kind = docs.schema[id_col].dataType.simpleString()
         self.scratch = Scratch(docs.sparkSession, "ngramjoin")
@@ -238,6 +241,31 @@ class NgramJoin:
             levels[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(bytes(row["counts"]), np.uint8)
         return Order(levels)
 
+    def _shared(self, prefix: DataFrame) -> DataFrame:
+        """The rows of shingles that several classes have."""
+        several = prefix.groupBy("token").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("token")
+        return prefix.join(self.scratch.write(several, "shared"), "token")
+
+    def _centred(self, lists: DataFrame) -> DataFrame:
+        """The rows with each shingle's centre: the class with the fewest shingles of its
+        own, which among the copies of a text is the text that the others were made from."""
+        best = lists.groupBy("token").agg(F.min(F.struct("alone", "id")).alias("best"), F.max("id").alias("last"), F.min("id").alias("first"))
+        best = best.where("first <> last").select("token", F.col("best.id").alias("centre"))
+        return lists.join(best, "token").select("token", "id", "pos", "centre")
+
+    def _missed(self, lists: DataFrame) -> DataFrame:
+        """pos becomes the number of the class's shingles that no partner has whose first
+        shared shingle this row is: those of its prefix that no other class has at all,
+        and the shared ones before this row.  Rows that leave too few for any partner go.
+        """
+        mine = W.partitionBy("id")
+        n, most = _size("id"), (1 << _N_BITS) - 1
+        least = F.floor((self.percent * n + 99) / 100)
+        alone = (n - least + 1) - F.count(F.lit(1)).over(mine)
+        before = F.row_number().over(mine.orderBy("pos")) - 1
+        counted = lists.select("token", "id", alone.alias("alone"), F.when(n == most, 0).otherwise(alone + before).cast("int").alias("pos"))
+        return counted.where((n == most) | (n - F.col("pos") >= least))
+
     def _check(self, pairs: DataFrame, texts: DataFrame, order: Order) -> DataFrame:
         a = texts.select(F.col("id").alias("a"), F.col("rep").alias("u"), F.col("text").alias("text_u"))
         b = texts.select(F.col("id").alias("b"), F.col("rep").alias("v"), F.col("text").alias("text_v"))
@@ -252,9 +280,12 @@ class NgramJoin:
         rows = scanned.where(F.col("chunk").isNull()).select("doc_id", "n", "key", "id")
         reps = put(rows.where(F.col("key").isNotNull()).groupBy("key", "id").agg(F.min("doc_id").alias("rep")), "reps")
         prefix = put(self.docs.select("text").mapInArrow(_prefixes(order, percent), "token bigint, id bigint, pos int"), "prefix")
-        shared = prefix.groupBy("token").agg(F.min("id").alias("centre"), F.max("id").alias("last")).where(F.col("centre") != F.col("last"))
-        lists = put(prefix.join(put(shared, "shared"), "token").select("token", "id", "pos", "centre", "last"), "lists")
+        lists = put(self._shared(prefix), "lists")
         self.scratch.drop_df(prefix)
+        counted = put(self._missed(lists), "counted")
+        self.scratch.drop_df(lists)
+        lists = put(self._centred(counted), "kept")
+        self.scratch.drop_df(counted)
         links = self._links(lists, reps, order)
         comp = components(links, self.scratch) if links is not None else None
         out = rows.join(reps.select("key", "rep"), "key", "left")
@@ -273,40 +304,65 @@ class NgramJoin:
         found = self.docs.join(wanted, self.docs["doc_id"] == wanted["rep"]).select("id", "rep", "key", "text")
         texts = put(found.mapInArrow(_same_text, f"id bigint, rep {self.kind}, text string"), "texts")
         names = wanted.select("id", F.col("rep").alias("node"))
-        links, tried = None, None
-        for k in range(self.star_rounds + 1):
-            if k < self.star_rounds:
-                hub = F.col("centre") if k == 0 else F.col("last")
-                pairs = lists.where(F.col("id") != hub).select(hub.alias("a"), F.col("id").alias("b"))
-            else:
-                other = lists.select("token", F.col("id").alias("a"), F.col("pos").alias("pos_a"), F.col("comp").alias("comp_a"))
-                mine = lists.select("token", F.col("id").alias("b"), F.col("pos").alias("pos_b"), F.col("comp").alias("comp_b"))
-                on = (other["token"] == mine["token"]) & (F.col("a") < F.col("b")) & (F.col("comp_a") != F.col("comp_b")) & _fits("a", "b", percent) & _places(percent)
-                pairs = other.join(mine, on).select("a", "b")
+        pairs = lists.where(F.col("id") != F.col("centre")).select(F.col("centre").alias("a"), F.col("id").alias("b"))
+        links, tried, placed, at = None, None, None, None
+        for k in range(self.rounds + 2):
             pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where(_fits("a", "b", percent)).distinct()
             if tried is not None:
                 pairs = pairs.join(tried, ["a", "b"], "left_anti")
+            if at is not None:
+                comp = lambda i: at.select(F.col("id").alias(i), F.col("comp").alias(f"comp_{i}"))  # noqa: B023, E731
+                pairs = pairs.join(comp("a"), "a").join(comp("b"), "b").where("comp_a <> comp_b").select("a", "b")
             pairs = put(pairs, "pairs")
             new = self._check(pairs, texts, order)
             tried = pairs if tried is None else tried.unionByName(pairs)
             links = new if links is None else links.unionByName(new)
-            if k == self.star_rounds:
-                return links
-            comp = components(links, self.scratch)
-            at = names.join(comp, "node", "left").groupBy("id").agg(F.min(F.coalesce("component", "node")).alias("comp"))
-            placed = lists.drop("comp").join(at, "id")
-            open_ = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(F.col("lo") != F.col("hi")).select("token")
-            lists = put(placed.join(open_, "token"), "open")
-            if lists.isEmpty():
-                return links
+            if k > self.rounds:
+                break
+            found = components(links, self.scratch)
+            at = put(names.join(found, "node", "left").groupBy("id").agg(F.min(F.coalesce("component", "node")).alias("comp")), "placed")
+            if placed is not None:
+                self.scratch.drop_df(placed)
+            now = lists.join(at, "id")
+            mixed = now.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(F.col("lo") != F.col("hi")).select("token")
+            placed = put(now.join(mixed, "token").select("token", "id", "pos", "comp"), "open")
+            if placed.isEmpty():
+                break
+            lists = placed.select("token", "id", "pos")
+            pairs = self._hubs(lists, k) if k < self.rounds else self._across(placed)
         return links
 
+    def _hubs(self, lists: DataFrame, k: int) -> DataFrame:
+        """Pairs of every class with a few centres of each of its shingles.  A centre is
+        the least id after an exclusive or with a constant, another one for each centre."""
+        draw = np.random.Generator(np.random.PCG64([11, k])).integers(1 << 62, size=self.hubs)
+        masks = [F.lit(int(m)) for m in draw]
+        hubs = lists.groupBy("token").agg(*[F.min(F.col("id").bitwiseXOR(m)).alias(f"h{i}") for i, m in enumerate(masks)])
+        joined = lists.join(hubs, "token")
+        parts = [joined.select(F.col(f"h{i}").bitwiseXOR(m).alias("a"), F.col("id").alias("b")).where("a <> b") for i, m in enumerate(masks)]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out
+
+    def _across(self, placed: DataFrame) -> DataFrame:
+        """All pairs of classes of different components that share a prefix shingle."""
+        other = placed.select("token", F.col("id").alias("a"), F.col("pos").alias("pos_a"), F.col("comp").alias("comp_a"))
+        mine = placed.select("token", F.col("id").alias("b"), F.col("pos").alias("pos_b"), F.col("comp").alias("comp_b"))
+        on = (other["token"] == mine["token"]) & (F.col("a") < F.col("b")) & (F.col("comp_a") != F.col("comp_b")) & _fits("a", "b", self.percent) & _places(self.percent)
+        return other.join(mine, on).select("a", "b")
+
 
 def _places(percent: int):
-    """Positional filter for a shared prefix shingle at pos_a and pos_b."""
+    """Positional filter for a shared prefix shingle before which pos_a and pos_b
+    shingles are missed.
+
+    As if it were the pair's first shared one, before which nothing is shared: a pair that
+    is similar passes at its first one, so that failing at later ones loses nothing.
+    """
     na, nb = _size("a"), _size("b")
     most = (1 << _N_BITS) - 1
-    top = F.least("pos_a", "pos_b") + 1 + F.least(na - F.col("pos_a"), nb - F.col("pos_b")) - 1
+    top = F.least(na - F.col("pos_a"), nb - F.col("pos_b"))
     return (F.greatest(na, nb) == most) | (top * (100 + percent) >= percent * (na + nb))
 
 
