@@ -82,7 +82,14 @@ def json_objects(lines: DataFrame, schema: T.StructType | str, value: str = "val
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line_no, value) of one log file, numbered in file order."""
+    """(line_no, value) of one log file, numbered in file order.
+
+    Spark leaves out files whose names begin with an underscore or a dot; a run's log is
+    such a file, a line a run, and is read where the driver is.
+    """
+    if os.path.basename(path).startswith(("_", ".")):
+        with open(path, encoding="utf-8") as f:
+            return spark.createDataFrame(list(enumerate(f.read().split("\n"))), "line_no int, value string")
     whole = spark.read.text(path, wholetext=True)
     return whole.select(F.posexplode(F.split("value", "\n", -1)).alias("line_no", "value"))
 

@@ -116,7 +116,7 @@ STAGES = [
     {"kind": "noise", "noise_kind": "gaussian"}, {"kind": "noise", "noise_kind": "salt_pepper", "amount": 0.1}, {"kind": "noise", "noise_kind": "poisson"}, {"kind": "noise", "noise_kind": "speckle"},
     {"kind": "brightness", "factor": 0.8}, {"kind": "contrast", "factor": 0.5}, {"kind": "gamma", "gamma": 1.5}, {"kind": "ink_bleed", "kernel_size_px": 1}, {"kind": "ink_thin", "kernel_size_px": 1}, {"kind": "foxing"},
     {"kind": "jpeg", "quality": 20}, {"kind": "webp", "quality": 20}, {"kind": "grayscale", "method": "average"}, {"kind": "skew", "angle_deg": 5.0, "fill": "black"},
-    {"kind": "paper_texture", "textures": [np.full((7, 5, 3), 128, np.uint8)], "blend": "overlay"},
+    {"kind": "paper_texture", "textures": [np.full((7, 5, 3), 200, np.uint8)], "blend": "overlay"},
 ]
 
 
