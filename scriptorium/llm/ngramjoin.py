@@ -242,9 +242,10 @@ class NgramJoin:
         return Order(levels)
 
     def _shared(self, prefix: DataFrame) -> DataFrame:
-        """The rows of shingles that several classes have."""
+        """The shingles that several classes have in their prefixes, one row per class:
+        exact copies bring the same rows again."""
         several = prefix.groupBy("token").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("token")
-        return prefix.join(self.scratch.write(several, "shared"), "token")
+        return prefix.join(self.scratch.write(several, "shared"), "token").groupBy("token", "id").agg(F.min("pos").alias("pos"))
 
     def _centred(self, lists: DataFrame) -> DataFrame:
         """The rows with each shingle's centre: the class with the fewest shingles of its
@@ -253,18 +254,15 @@ class NgramJoin:
         best = best.where("first <> last").select("token", F.col("best.id").alias("centre"))
         return lists.join(best, "token").select("token", "id", "pos", "centre")
 
-    def _missed(self, lists: DataFrame) -> DataFrame:
-        """pos becomes the number of the class's shingles that no partner has whose first
-        shared shingle this row is: those of its prefix that no other class has at all,
-        and the shared ones before this row.  Rows that leave too few for any partner go.
+    def _alone(self, lists: DataFrame) -> DataFrame:
+        """Adds the number of the class's prefix shingles that no other prefix has.
+
+        It chooses centres and filters nothing: such a shingle may stand in another class's
+        set beyond its prefix.  ``pos`` stays the shingle's place in the class's order.
         """
-        mine = W.partitionBy("id")
-        n, most = _size("id"), (1 << _N_BITS) - 1
-        least = F.floor((self.percent * n + 99) / 100)
-        alone = (n - least + 1) - F.count(F.lit(1)).over(mine)
-        before = F.row_number().over(mine.orderBy("pos")) - 1
-        counted = lists.select("token", "id", alone.alias("alone"), F.when(n == most, 0).otherwise(alone + before).cast("int").alias("pos"))
-        return counted.where((n == most) | (n - F.col("pos") >= least))
+        least = F.floor((self.percent * _size("id") + 99) / 100)
+        alone = (_size("id") - least + 1) - F.count(F.lit(1)).over(W.partitionBy("id"))
+        return lists.select("token", "id", "pos", alone.alias("alone"))
 
     def _check(self, pairs: DataFrame, texts: DataFrame, order: Order) -> DataFrame:
         a = texts.select(F.col("id").alias("a"), F.col("rep").alias("u"), F.col("text").alias("text_u"))
@@ -282,7 +280,7 @@ class NgramJoin:
         prefix = put(self.docs.select("text").mapInArrow(_prefixes(order, percent), "token bigint, id bigint, pos int"), "prefix")
         lists = put(self._shared(prefix), "lists")
         self.scratch.drop_df(prefix)
-        counted = put(self._missed(lists), "counted")
+        counted = put(self._alone(lists), "counted")
         self.scratch.drop_df(lists)
         lists = put(self._centred(counted), "kept")
         self.scratch.drop_df(counted)
@@ -354,8 +352,7 @@ class NgramJoin:
 
 
 def _places(percent: int):
-    """Positional filter for a shared prefix shingle before which pos_a and pos_b
-    shingles are missed.
+    """Positional filter for a shared prefix shingle at the places pos_a and pos_b.
 
     As if it were the pair's first shared one, before which nothing is shared: a pair that
     is similar passes at its first one, so that failing at later ones loses nothing.
