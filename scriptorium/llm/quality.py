@@ -51,7 +51,7 @@ class QualityRules:
     """Thresholds: Jensen-Shannon distances (root of the divergence in bits)."""
 
     class_limit: float = 0.32
-    word_limit: float = 0.36
+    word_limit: float = 0.29
     min_chars: int = 200
     min_words: int = 50
     window: int = 8
