@@ -3,8 +3,9 @@
 For every DOM node the link-adjusted density is characters per tag, weighted down the
 more of them stand in links; a node's density sum adds its children's densities.  The
 node of the largest sum holds the article.  The least density on its path to the body is
-the threshold: what else stands in the same article (or, without one, headings beside the
-subtree) is kept if it is as dense or not mostly links.  Menus, headers, footers, sidebars, notices, adverts,
+the threshold: what else stands in the same article is kept if it is as dense or not mostly
+links; without an article, what else stands in the body if it is a heading beside the subtree,
+or as dense, by composite or plain characters per tag, and not mostly links.  Menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments are known by their element, role, class or id
 and count nowhere.
 
@@ -180,17 +181,20 @@ def _select(dom: Dom) -> list[bool]:
         best = 0
     while best and (tag[best] in INLINE or tag[best] in LEAF):
         best = parent[best]
-    least, at, home = dense[best], best, None
+    plain = [c / (t or 1) for c, t in zip(chars, tags)]  # unlike the composite one it doesn't grow with a block's size
+    least, thin, at, home, body = dense[best], plain[best], best, None, 0
     while at > 0:
-        least = min(least, dense[at])
+        least, thin = min(least, dense[at]), min(thin, plain[at])
         if tag[at] in ("article", "main"):
             home = at
         if tag[at] == "body":
+            body = at
             break
         at = parent[at]
-    keep, near = [False] * n, [False] * n
+    keep, near, beside = [False] * n, [False] * n, [False] * n
     keep[best] = True
-    near[home if home is not None else parent[best] if best else 0] = True
+    near[home if home is not None else body] = True
+    beside[parent[best] if best else 0] = True
     path = set()
     at = best
     while at > 0:
@@ -198,12 +202,15 @@ def _select(dom: Dom) -> list[bool]:
         path.add(at)
     for i in range(1, n):
         p = parent[i]
-        near[i] = near[i] or near[p]
+        near[i], beside[i] = near[i] or near[p], beside[i] or beside[p]
         if keep[p]:
             keep[i] = True
         elif near[p] and not keep[i] and i not in path:
             linked = 2 * link_chars[i] > chars[i]
-            keep[i] = tag[i] in HEADINGS if home is None else dense[i] >= least or not linked
+            if home is not None:
+                keep[i] = dense[i] >= least or not linked
+            else:
+                keep[i] = beside[i] and tag[i] in HEADINGS or (dense[i] >= least or plain[i] >= thin) and not linked
     if home is not None:
         for node in path:  # text of the article's own nodes around the subtree
             keep[node] = keep[node] or near[node]
