@@ -699,14 +699,13 @@ def smp_style(spark, sf_dir):
 
 @query()
 def ren_word_crops(spark, sf_dir):
-    """The 200 commonest words, set in the fonts that are there, with degradations; a
-    limit is the feature: a top-k of the vocabulary is drawn."""
+    """Every distinct word, set in the fonts that are there, with degradations."""
     from pathlib import Path
 
     from .operators.render import render_rows
 
     fonts = {str(p): p.read_bytes() for p in sorted(Path("/usr/share/fonts/truetype/dejavu").glob("DejaVuSans*Mono.ttf"))[:2]}
-    words = T.histogram(K.tokenize(read(spark, sf_dir, "documents").select("text"), "word_crops"), F.col("token")).limit(200)
+    words = K.tokenize(read(spark, sf_dir, "documents").select("text"), "word_crops").select(F.col("token").alias("value")).where("value is not null").distinct()
     indexed = words.select(F.expr("cast(conv(substr(md5(value), 1, 7), 16, 10) as bigint)").alias("index"), F.col("value").alias("text"))
     if not fonts:
         return indexed.select("index", "text", F.lit("skipped").alias("status"), F.lit(None).cast("int").alias("width"), F.lit(None).cast("int").alias("height"))
