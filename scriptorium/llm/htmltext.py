@@ -86,15 +86,17 @@ class Dom(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.tag, self.parent, self.gone, self.top = ["#root"], [-1], [False], [False]
+        self.within = [False]  # in an article or main, at any depth
         self.open = [0]
         self.events: list[tuple[int, str | None]] = []  # a node's text, or None where a block begins or ends
 
     def handle_starttag(self, tag, attrs):
         self._end_implied(tag)
         up = self.open[-1]
-        gone = self.gone[up] or _noisy(tag, attrs) or (tag == "header" and not self._inside())
+        gone = self.gone[up] or _noisy(tag, attrs) or (tag == "header" and not self.within[up])
         self.tag.append(tag), self.parent.append(up), self.gone.append(gone)
         self.top.append(tag == "header" or self.top[up])  # in a header of the article, where headings alone are kept
+        self.within.append(tag in ("article", "main") or self.within[up])
         node = len(self.tag) - 1
         if tag == "br":
             self.events.append((up, " "))
@@ -108,9 +110,6 @@ class Dom(HTMLParser):
         if tag not in VOID:
             self.handle_endtag(tag)
 
-    def _inside(self) -> bool:
-        return any(self.tag[n] in ("article", "main") for n in self.open[-64:])
-
     def _end_implied(self, tag):
         for k in range(len(self.open) - 1, 0, -1):
             at = self.tag[self.open[k]]

@@ -32,3 +32,8 @@ def test_two_blocks_and_nothing_else():
     part = lambda name, n: f"<div><h2>{name}</h2>" + f"<p>{name * 500}</p>" * n + "</div>"
     blocks = htmltext.main_text(f"<body><div id=content>{part('a', 5)}{part('b', 3)}</div></body>").split("\n\n")
     assert [b[0] for b in blocks] == ["a"] * 6 + ["b"] * 4
+
+
+def test_header_deep_in_an_article_keeps_its_title():
+    page = f"<body><article>{'<div>' * 80}<header><h1>Title</h1></header><p>{'word ' * 99}</p>{'</div>' * 80}</article></body>"
+    assert htmltext.main_text(page).startswith("Title")
