@@ -61,7 +61,8 @@ def canonical(json: Column) -> Column:
 
 def levels(calls: DataFrame, scratch: Scratch, max_rounds: int = 1000) -> DataFrame:
     """(uid, level) of calls (uid, deps); each round takes the calls whose
-    dependencies are all taken.  What a cycle holds back has no row."""
+    dependencies are all taken.  What a cycle holds back has no row; a chain deeper than
+    ``max_rounds`` raises."""
     known = calls.select("uid")
     edges = calls.select("uid", F.explode(F.array_distinct("deps")).alias("dep")).join(known.withColumnRenamed("uid", "dep"), "dep", "left_semi")
     open_ = scratch.write(edges, "deps")
@@ -73,6 +74,9 @@ def levels(calls: DataFrame, scratch: Scratch, max_rounds: int = 1000) -> DataFr
         left = scratch.write(open_.join(ready.select(F.col("uid").alias("dep")), "dep", "left_anti"), "deps")
         ready = scratch.write(open_.select("uid").distinct().join(left.select("uid").distinct(), "uid", "left_anti").withColumn("level", F.lit(level)), "level")
         open_, done = left, done.unionByName(ready)
+    else:
+        if not ready.isEmpty() and not open_.isEmpty():
+            raise RuntimeError("levels did not settle")
     return done
 
 
