@@ -205,13 +205,20 @@ def test_tool_chat(spark):
     rows = [
         (1, 0, "system", "be kind"), (1, 1, "assistant", call('"b"', '{"turn":1,"prompt":"x"}', '["a"]')), (1, 2, "assistant", call('"a"', '{"prompt":"y","turn":2}')),
         (1, 3, "tool", '{"tool_call_id":"a","content":"A"}'), (1, 4, "tool", '{"tool_call_id":"a","content":"late"}'), (1, 5, "tool", '{"tool_call_id":"zz","content":"?"}'),
-        (1, 6, "assistant", call('"c"', '{"prompt":1,"turn":2}', '["d"]')), (1, 7, "assistant", call('"d"', '{"prompt":"z"}', '["c"]')), (1, 8, "assistant", call("null", "[]", name="other")), (2, 0, None, None), (None, 0, "user", "{not json"),
+        (1, 6, "assistant", call('"c"', '{"prompt":1,"turn":2}', '["d"]')), (1, 7, "assistant", call('"d"', '{"prompt":"z"}', '["c"]')), (1, 8, "assistant", call("null", "[]", name="other")),
+        (1, 9, "assistant", call('"a"', '{"prompt":"y","turn":2,"more":[]}')), (2, 0, None, None), (None, 0, "user", "{not json"),
     ]
-    out = {r["conv_id"]: r for r in toolchat.tool_chat(spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")).collect()}
-    one = out[1]
-    assert (one["n_calls"], one["n_linked"], one["n_orphans"], one["n_invalid"], one["n_cyclic"], one["depth"]) == (5, 1, 1, 3, 2, 1)
-    places = [one["chat_json"].index(x) for x in ('"call_id":"a"', '"content":"A"', '"call_id":"b"', '"call_id":"c"')]
-    assert places == sorted(places) and '{\\"prompt\\":\\"x\\",\\"turn\\":1}' in one["chat_json"]
+    df = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")
+    chat = toolchat.tool_chat(df.withColumn("state", F.lit(1)).withColumn("message", F.lit("x")))
+    got = {(r["turn"], r["kind"], r["state"]): r for r in chat.where("conv_id = 1").collect()}
+    assert set(got) == {
+        (0, 0, "plain"), (1, 0, "unanswered"), (2, 0, "answered"), (2, 1, "result"), (2, 2, "repeated"), (5, 2, "orphan"), (6, 0, "unanswered"), (7, 0, "unanswered"), (8, 0, "unanswered"), (9, 0, "unanswered")
+    }
+    assert {t: r["issue"] for (t, kind, _), r in got.items() if kind == 0 and t} == {1: None, 2: None, 6: "prompt isn't string", 7: "missing turn", 8: "unknown tool", 9: "unknown argument"}
+    assert {t for (t, kind, _), r in got.items() if r["cyclic"]} == {6, 7} and got[1, 0, "unanswered"]["at_turn"] == 2
+    out = {r["conv_id"]: r for r in toolchat.documents(chat).collect()}
+    places = [out[1]["chat_json"].index(x) for x in ("be kind", '"call_id":"a"', '"content":"A"', '"call_id":"b"', '"name":"other"', '"call_id":"c"')]
+    assert places == sorted(places) and '{\\"prompt\\":\\"x\\",\\"turn\\":1}' in out[1]["chat_json"] and "late" not in out[1]["chat_json"]
     assert out[2]["chat_json"] == '[{"content":"","role":"user"}]' and out[None]["n_messages"] == 1
 
 
