@@ -136,12 +136,34 @@ def parse(body: Column, parser: str, path: str | None = None) -> Column:
 
 def json_lines(body: Column, path: str) -> Column:
     """``json_text`` for paths through objects and lists, without leaving the JVM; null
-    where the path is missing."""
-    parts = split_path(path)
-    found = F.get_json_object(body, "$" + "".join("[*]" if p == "*" else f".{p}" for p in parts))
-    if "*" not in parts:
-        return F.concat(found, F.lit("\n"))
-    return F.concat(F.array_join(F.from_json(found, "array<string>"), "\n"), F.lit("\n"))
+    where the body isn't JSON, the path is missing or ``*`` stands for a plain value.
+
+    Values of an object's ``*`` come in the order of their keys; objects and lists at the
+    path's end are written without spaces.
+    """
+    found = F.array(F.try_parse_json(body))
+    for part in split_path(path):
+        if part == "*":
+            found = F.flatten(F.transform(found, _items))
+        else:
+            found = F.transform(found, _member(part))
+        found = F.when(~F.exists(found, lambda v: v.isNull()), found)
+    value = lambda v: F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string")).otherwise(F.to_json(v))
+    return F.concat(F.array_join(F.transform(found, value), "\n"), F.lit("\n"))
+
+
+def _member(name: str) -> Callable[[Column], Column]:
+    quote = '"' if "'" in name else "'"
+    at = f"$[{quote}{name}{quote}]"
+    return lambda v: F.try_variant_get(v, at, "variant")
+
+
+def _items(v: Column) -> Column:
+    """The items of a list or an object; one null for anything else."""
+    kind = F.schema_of_variant(v)
+    members = F.map_values(F.try_variant_get(v, "$", "map<string,variant>"))
+    listed = F.when(kind.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>")).when(kind.startswith("OBJECT"), members)
+    return F.coalesce(listed, F.array(F.lit(None).cast("variant")))
 
 
 def parser_of(path: Column) -> Column:

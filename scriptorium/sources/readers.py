@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import glob
+import json
 import os
+import re
 import time
 import urllib.error
 import urllib.parse
@@ -11,7 +13,7 @@ import urllib.request
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -48,9 +50,25 @@ def read_local(spark: SparkSession, raw: str, base: Path = Path(".")) -> DataFra
     bad = [f for f in files if Path(f).suffix.lower() not in (".txt", ".text", "") and _suffix_parser(f) != "plain"]
     if bad:
         raise SourceError(f"local text is plain: {bad[0]}")
-    df = spark.read.text(files, wholetext=True).select(F.col("value").alias("text"), F.regexp_replace(F.input_file_name(), "^file:/+", "/").alias("path"))
+    # Paths are patterns to Spark: what has a meaning there is escaped.
+    raw = spark.read.format("binaryFile").load([re.sub(r"([\\*?\[\]{},])", r"\\\1", os.path.abspath(f)) for f in files])
+    found = raw.select(plain_path(F.col("path")).alias("path"), "content")
     listed = spark.createDataFrame([(i, os.path.abspath(f)) for i, f in enumerate(files)], "ord int, path string")
-    return df.join(listed, "path").select("ord", "path", "text")
+    told = listed.join(found, "path", "left")
+    text = F.col("content").cast("string")
+    fault = F.when(F.col("content").isNull(), "wasn't read").when(~F.is_valid_utf8(text), "isn't UTF-8")
+    text = F.when(fault.isNotNull(), F.raise_error(F.concat_ws(" ", "path", fault))).otherwise(text)
+    return told.select("ord", "path", line_ends(text).alias("text"))
+
+
+def plain_path(uri: Column) -> Column:
+    """The local path in a ``file:`` URI as Spark gives it."""
+    return F.regexp_replace(uri, "^file:/+", "/")
+
+
+def line_ends(text: Column) -> Column:
+    """All line ends as ``\\n``, as reading a text file gives them."""
+    return F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
 def _suffix_parser(path: str) -> str:
@@ -152,14 +170,20 @@ class WebReader(DataSourceReader):
         return [_Urls(v) for v in hosts.values()]
 
     def read(self, partition):
-        parser = get_parser(self.options.get("parser", "html-text"))
         limit = HostLimiter(float(self.options.get("every", 1.0)))
         for i, url in partition.urls:
             try:
                 body = fetch(url, retries=int(self.options.get("retries", 3)), wait=limit.wait).decode("utf-8")
-                yield i, url, parser(body), None
-            except (SourceError, ParserError, UnicodeDecodeError) as e:
-                yield i, url, None, str(e)
+                yield i, url, self.decoded(body), None
+            except (SourceError, ParserError, ValueError) as e:
+                yield i, url, None, f"{url}: {e}"
+
+    def decoded(self, body: str) -> str:
+        """The body by the option ``parser``; ``json`` takes the option ``path``."""
+        name = self.options.get("parser", "plain")
+        if name == "wiki":
+            return wiki_text(body)
+        return get_parser(name)(body, **({"path": self.options["path"]} if name == "json" and self.options.get("path") else {}))
 
 
 class WebSource(DataSource):
@@ -182,6 +206,18 @@ def wikisource_url(language: str, title: str) -> str:
     return f"https://{host}/w/api.php?" + urllib.parse.urlencode({"action": "parse", "page": title, "prop": "text", "format": "json", "formatversion": 2})
 
 
+def wiki_text(body: str) -> str:
+    """The text of a page in an answer of the wiki's ``parse`` action; its errors raise."""
+    answer = json.loads(body)
+    if "error" in answer:
+        raise SourceError(f"the wiki says: {answer['error'].get('info', 'unknown error')}")
+    text = (answer.get("parse") or {}).get("text")
+    text = text.get("*") if isinstance(text, dict) else text
+    if not isinstance(text, str):
+        raise SourceError("the wiki's answer holds no text")
+    return get_parser("html-text")(text)
+
+
 # ------------------------------------------------------------------ corpus
 
 Provider = Callable[[SparkSession, dict], DataFrame]
@@ -198,7 +234,10 @@ class ProviderRegistry:
             raise SourceError(f"provider {name!r} is registered already")
 
     def names(self) -> list[str]:
-        return sorted(self._known)
+        """Registered providers and those of installed plug-ins."""
+        from importlib.metadata import entry_points
+
+        return sorted({*self._known, *(p.name for p in entry_points(group=self.GROUP))})
 
     def get(self, name: str) -> Provider:
         if name not in self._known:
@@ -211,20 +250,33 @@ class ProviderRegistry:
         return self._known[name]
 
 
-def _web(spark: SparkSession, entry: dict) -> DataFrame:
+def _fetched(spark: SparkSession, urls: str, **options) -> DataFrame:
     spark.dataSource.register(WebSource)
-    return spark.read.format("scriptorium_web").options(urls=entry["url"], parser=entry.get("parser") or "html-text", retries=entry.get("retries", 3)).load()
+    return spark.read.format("scriptorium_web").options(urls=urls, **options).load()
+
+
+def _web(spark: SparkSession, entry: dict) -> DataFrame:
+    path = {"path": entry["field_path"]} if entry.get("field_path") else {}
+    return _fetched(spark, entry["url"], parser=entry.get("parser") or "plain", retries=entry.get("retries", 3), **path)
 
 
 def _wikisource(spark: SparkSession, entry: dict) -> DataFrame:
+    """One text for all titles, in their order, a blank line between them; the first title
+    that fails is the entry's error."""
     if entry.get("category") or entry.get("max_pages"):
         raise SourceError("wikisource: category and max_pages aren't supported")
-    spark.dataSource.register(WebSource)
     urls = "\n".join(wikisource_url(entry["language"] or "mul", t) for t in entry["titles"])
-    raw = spark.read.format("scriptorium_web").options(urls=urls, parser="plain", retries=entry.get("retries", 3)).load()
-    from .parsers import parse
+    raw = _fetched(spark, urls, parser="wiki", retries=entry.get("retries", 3))
+    return joined_titles(raw)
+
 
-    return raw.withColumn("text", parse(F.get_json_object("text", "$.parse.text"), "html-text"))
+def joined_titles(pages: DataFrame) -> DataFrame:
+    """(ord, url, text, error) of a list of titles as one row."""
+    ordered = F.array_sort(F.collect_list(F.struct("ord", "text", "error")))
+    whole = pages.agg(ordered.alias("p"), F.min("url").alias("url"))
+    error = F.get(F.filter(F.transform("p", lambda x: x["error"]), lambda e: e.isNotNull()), F.lit(0))
+    text = F.concat(F.regexp_replace(F.array_join(F.transform("p", lambda x: x["text"]), "\n\n"), r"\s+$", ""), F.lit("\n"))
+    return whole.select(F.lit(0).alias("ord"), "url", F.when(error.isNull(), text).alias("text"), error.alias("error"))
 
 
 PROVIDERS = ProviderRegistry()
