@@ -5,27 +5,34 @@
 2. A frequency sketch over all shingles of all rows orders the shingles, rare ones
    first.  Two sets with Jaccard >= t share a shingle among the first n - ceil(t n) + 1
    of either, whatever the order, so the sketch's error costs time and never a link.
-3. Prefix shingles are counted; those of a single class are gone from here on.
-4. Links are looked for in rounds.  The first pairs every class with the centre of each of
-   its prefix shingles (never all with all): the class with the fewest shingles of its
+3. Prefix shingles are counted, a class once a task however many copies it has; those of a
+   single class are gone from here on.
+4. Links are looked for in two rounds.  The first pairs every class with the centre of each
+   of its prefix shingles (never all with all): the class with the fewest shingles of its
    own, in a group of near copies the text they were made from.  Pairs are dropped by
    length, by position and by suffix, the rest is verified exactly, and components merge.
-   ``rounds`` more may follow with ``hubs`` other centres each.  Afterwards only shingles
-   whose classes are still in different components are of interest; the last round pairs
-   exactly those across components.  A pair left out is in one component already.
+   Afterwards only shingles whose classes are still in different components are of
+   interest; the second round pairs exactly those across components.  There the smaller set
+   is only indexed by its first n - ceil(2t n / (1 + t)) + 1 shingles, and a set only looks
+   among the sizes that the place of the shared shingle leaves open.  A pair left out is in
+   one component already.
    So components are exact and a group of g near copies costs about g pairs.
 
+A centre with many pairs is verified in chunks of them; its text goes once to each chunk.
+
 Defined results
 ---------------
 * null or empty text, or white space only: the empty set, linked with nothing.
 * fewer than five words: the whole sequence is the one shingle.
-* repeated rows (equal texts) are one class; rows with equal ids keep a row each.
+* repeated rows (equal texts) are one class; rows with equal ids keep a row each, with the
+  links of their own text.
 * a row without an id is linked through its exact copies only and takes their least id.
 * very long texts are processed whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -42,8 +49,9 @@ from .graph import components
 PERCENT, WORDS = 80, 5
 #: Buckets of the frequency sketch: its size, 1 byte each, is all that is broadcast.
 WIDTH, CHUNK = 1 << 22, 1 << 18
+#: Pairs of one centre that are verified in one go.
+PAIRS = 256
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
-_N_BITS = 20
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -65,11 +73,9 @@ def shingles(words: list[bytes], k: int = WORDS) -> np.ndarray:
     return np.unique(total)
 
 
-def class_of(words: list[bytes], n: int) -> tuple[bytes, int]:
-    """(digest of the sequence, id): the id holds 44 bits of the digest and the set's size."""
-    key = xxhash.xxh3_128_digest(b" ".join(words))
-    head = int.from_bytes(key[:8], "little") & ((1 << 43) - 1)
-    return key, head << _N_BITS | min(n, (1 << _N_BITS) - 1)
+def class_of(words: list[bytes]) -> tuple[int, int]:
+    """The class of a word sequence: 128 bits of digest as two signed integers."""
+    return struct.unpack("<qq", xxhash.xxh3_128_digest(b" ".join(words)))
 
 
 def ceil_share(n: int, percent: int) -> int:
@@ -100,37 +106,31 @@ class Order:
 
 
 def _classes(rows: int = 512):
+    names = ["doc_id", "n", "hi", "lo", "chunk", "counts"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, waiting, room = np.zeros(WIDTH, np.int64), [], 0
         for big in batches:
             for at in range(0, big.num_rows, rows):
                 batch = big.slice(at, rows)
-                ns, keys, ids = [], [], []
+                ns, keys = [], []
                 for text in batch.column(1).to_pylist():
                     words = words_of(text)
                     s = shingles(words)
-                    key, i = class_of(words, len(s))
-                    ns.append(len(s)), keys.append(key if len(s) else None), ids.append(i)
+                    ns.append(len(s)), keys.append(class_of(words))
                     waiting.append((s & np.uint64(WIDTH - 1)).astype(np.int32))
                     room += len(s)
                 if room > WIDTH:
                     counts += np.bincount(np.concatenate(waiting), minlength=WIDTH)
                     waiting, room = [], 0
-                n = batch.num_rows
-                yield pa.record_batch(
-                    [batch.column(0), pa.array(ns, pa.int64()), pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
-                    names=["doc_id", "n", "key", "id", "chunk", "counts"],
-                )
+                m, (hi, lo) = batch.num_rows, zip(*keys)
+                yield pa.record_batch([batch.column(0), *(pa.array(x, pa.int64()) for x in (ns, hi, lo)), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names=names)
         if waiting:
             counts += np.bincount(np.concatenate(waiting), minlength=WIDTH)
         if counts.any():
-            kind = big.column(0).type
             parts = [zlib.compress(counts[a : a + CHUNK].astype("<u4").tobytes(), 1) for a in range(0, WIDTH, CHUNK)]
             m = len(parts)
-            yield pa.record_batch(
-                [pa.nulls(m, kind), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64()), pa.array(range(m), pa.int32()), pa.array(parts, pa.binary())],
-                names=["doc_id", "n", "key", "id", "chunk", "counts"],
-            )
+            yield pa.record_batch([pa.nulls(m, big.column(0).type), *[pa.nulls(m, pa.int64())] * 3, pa.array(range(m), pa.int32()), pa.array(parts, pa.binary())], names=names)
 
     return run
 
@@ -147,41 +147,49 @@ def _sum_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(order: Order, percent: int, rows: int = 256):
+    """(token, hi, n, pos) of the first text of each class in the task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
         for big in batches:
             for at in range(0, big.num_rows, rows):
-                token, ids, pos, ns = [], [], [], []
+                columns = [[], [], [], []]
                 for text in big.column(0).slice(at, rows).to_pylist():
                     words = words_of(text)
-                    s = shingles(words)
-                    if not len(s):
+                    key = class_of(words)
+                    if not words or key in seen:
                         continue
+                    seen.add(key)
+                    s = shingles(words)
                     p = prefix_size(len(s), percent)
-                    token.append(order.sort(s)[0][:p].view(np.int64))
-                    ids.append(np.full(p, class_of(words, len(s))[1], np.int64))
-                    pos.append(np.arange(p, dtype=np.int32))
-                if token:
-                    yield pa.record_batch([pa.array(np.concatenate(x)) for x in (token, ids, pos)], names=["token", "id", "pos"])
+                    for c, x in zip(columns, (order.sort(s)[0][:p].view(np.int64), np.full(p, key[0]), np.full(p, len(s), np.int64), np.arange(p, dtype=np.int32))):
+                        c.append(x)
+                if columns[0]:
+                    yield pa.record_batch([pa.array(np.concatenate(x)) for x in columns], names=["token", "hi", "n", "pos"])
 
     return run
 
 
 def _verify(order: Order, percent: int):
-    """Keeps the pairs whose sets reach the share; ``u``, ``v``, two texts."""
-
-    def sets(text: str) -> tuple[np.ndarray, np.ndarray]:
-        return order.sort(shingles(words_of(text)))
+    """Keeps the pairs whose sets reach the share.  Rows (head, id, text), a head before the
+    partners that it is held against.  A row's text that isn't of the row's class (ids may
+    repeat with other texts) is passed over."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple] = {}
+        head, own = None, None
         for batch in batches:
-            us, vs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            ok = []
-            for i, (u, v) in enumerate(zip(us, vs)):
-                if u not in held:
-                    held = {u: sets(batch.column(2)[i].as_py())}  # the pairs of one u come together
-                ok.append(similar(held[u], sets(batch.column(3)[i].as_py()), percent))
-            yield pa.record_batch([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(ok, pa.bool_()))
+            us, vs = [], []
+            for i, (is_head, c, text) in enumerate(zip(*(batch.column(name).to_pylist() for name in ("head", "id", "text")))):
+                words = words_of(text)
+                if class_of(words) != (c["hi"], c["lo"]):
+                    continue
+                found = order.sort(shingles(words))
+                if is_head:
+                    head, own = batch.column("id").slice(i, 1), found
+                elif similar(own, found, percent):
+                    us.append(head), vs.append(i)
+            if vs:
+                yield pa.record_batch([pa.concat_arrays(us), batch.column("id").take(pa.array(vs))], names=["u", "v"])
 
     return run
 
@@ -216,20 +224,28 @@ def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray],
 # ---------------------------------------------------------------- the join
 
 
-def _size(i: str) -> F.Column:
-    return F.col(i).bitwiseAND(F.lit((1 << _N_BITS) - 1))
+def _fits(percent: int):
+    """Length filter on the classes a and b."""
+    lo, hi = F.least("a.n", "b.n"), F.greatest("a.n", "b.n")
+    return 100 * lo >= percent * hi
+
 
+def _places(percent: int):
+    """Positional filter for a shared prefix shingle at the places pos_a and pos_b.
 
-def _fits(a: str, b: str, percent: int):
-    """Length filter on two ids; sizes that fill their bits aren't judged."""
-    most = (1 << _N_BITS) - 1
-    lo, hi = F.least(_size(a), _size(b)), F.greatest(_size(a), _size(b))
-    return (hi == most) | (100 * lo >= percent * hi)
+    As if it were the pair's first shared one, before which nothing is shared: a pair that
+    is similar passes at its first one, so that failing at later ones loses nothing.
+    """
+    top = F.least(F.col("a.n") - F.col("pos_a"), F.col("b.n") - F.col("pos_b"))
+    return top * (100 + percent) >= percent * (F.col("a.n") + F.col("b.n"))
 
 
 class NgramJoin:
-    def __init__(self, docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text: str = "text", rounds: int = 0, hubs: int = 4):
-        self.percent, self.rounds, self.hubs = percent, rounds, hubs
+    """Classes are structs (rep, hi, lo, n): the least id of the class's rows, its digest, its
+    set's size.  So the least class of a component holds the component's least id."""
+
+    def __init__(self, docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text: str = "text"):
+        self.percent = percent
         self.docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
         self.kind = docs.schema[id_col].dataType.simpleString()
         self.scratch = Scratch(docs.sparkSession, "ngramjoin")
@@ -241,133 +257,117 @@ class NgramJoin:
             levels[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(bytes(row["counts"]), np.uint8)
         return Order(levels)
 
-    def _shared(self, prefix: DataFrame) -> DataFrame:
-        """The shingles that several classes have in their prefixes, one row per class:
-        exact copies bring the same rows again."""
-        several = prefix.groupBy("token").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("token")
-        return prefix.join(self.scratch.write(several, "shared"), "token").groupBy("token", "id").agg(F.min("pos").alias("pos"))
+    def _shared(self, prefix: DataFrame, reps: DataFrame) -> DataFrame:
+        """Rows (token, id, pos, alone) of the shingles that stand in several prefixes.
+
+        The wide rows of all prefixes hold half of the class's digest; ``_clashes`` pairs the
+        classes that this half and their size can't tell apart.  ``alone``, the number of the
+        class's prefix shingles that no other prefix has, chooses centres and filters
+        nothing: such a shingle may stand in another class's set beyond its prefix.
+        ``pos`` is the shingle's place in the class's order.
+        """
+        # One exchange, by shingle, for all that follows up to the classes' own facts.  Copies
+        # in several tasks bring their class's rows again.
+        rows = prefix.repartition("token").groupBy("token", "hi", "n").agg(F.min("pos").alias("pos"))
+        rows = rows.withColumn("classes", F.count(F.lit(1)).over(W.partitionBy("token"))).where("classes > 1").drop("classes")
+        rows = rows.join(reps.where("id.rep is not null").select("id.hi", "id.n", "id.lo", "id.rep"), ["hi", "n"])
+        alone = F.col("n") - F.floor((self.percent * F.col("n") + 99) / 100) + 1 - F.count(F.lit(1)).over(W.partitionBy("hi", "n", "lo"))
+        return rows.select("token", F.struct("rep", "hi", "lo", "n").alias("id"), "pos", alone.alias("alone"))
+
+    def _clashes(self, reps: DataFrame) -> DataFrame:
+        """Pairs (a, b) of classes with half of the digest and the size in common."""
+        half = reps.where("id.rep is not null").select("id.hi", "id.n", "id.lo", "id")
+        twice = half.groupBy("hi", "n").agg(F.min("lo").alias("least"), F.max("lo").alias("most")).where("least < most").select("hi", "n")
+        some = self.scratch.write(half.join(twice, ["hi", "n"]), "clashes")
+        other = some.select("hi", "n", F.col("lo").alias("lo_b"), F.col("id").alias("b"))
+        return some.join(other, ["hi", "n"]).where("lo < lo_b").select(F.col("id").alias("a"), "b")
 
     def _centred(self, lists: DataFrame) -> DataFrame:
         """The rows with each shingle's centre: the class with the fewest shingles of its
         own, which among the copies of a text is the text that the others were made from."""
-        best = lists.groupBy("token").agg(F.min(F.struct("alone", "id")).alias("best"), F.max("id").alias("last"), F.min("id").alias("first"))
-        best = best.where("first <> last").select("token", F.col("best.id").alias("centre"))
+        best = lists.groupBy("token").agg(F.min(F.struct("alone", "id")).alias("best"), F.count(F.lit(1)).alias("classes"))
+        best = best.where("classes > 1").select("token", F.col("best.id").alias("centre"))
         return lists.join(best, "token").select("token", "id", "pos", "centre")
 
-    def _alone(self, lists: DataFrame) -> DataFrame:
-        """Adds the number of the class's prefix shingles that no other prefix has.
+    def _check(self, pairs: DataFrame, order: Order, many_texts: bool) -> DataFrame:
+        """Links (u, v) among the pairs (a, b).  A centre's partners are dealt in chunks.
 
-        It chooses centres and filters nothing: such a shingle may stand in another class's
-        set beyond its prefix.  ``pos`` stays the shingle's place in the class's order.
+        ``many_texts``: a good share of all texts is asked for, so that they are dealt by id
+        at every size; else Spark may send the few ids to the texts.
         """
-        least = F.floor((self.percent * _size("id") + 99) / 100)
-        alone = (_size("id") - least + 1) - F.count(F.lit(1)).over(W.partitionBy("id"))
-        return lists.select("token", "id", "pos", alone.alias("alone"))
-
-    def _check(self, pairs: DataFrame, texts: DataFrame, order: Order) -> DataFrame:
-        a = texts.select(F.col("id").alias("a"), F.col("rep").alias("u"), F.col("text").alias("text_u"))
-        b = texts.select(F.col("id").alias("b"), F.col("rep").alias("v"), F.col("text").alias("text_v"))
-        joined = pairs.join(b, "b").join(a, "a").select("u", "v", "text_u", "text_v")
-        return self.scratch.write(joined.mapInArrow(_verify(order, self.percent), f"u {self.kind}, v {self.kind}"), "links")
-
-    def run(self) -> DataFrame:
-        """doc_id, n_shingles, component_id for every row."""
+        many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PAIRS).alias("chunks")).where("chunks > 1")
+        chunk = F.pmod(F.xxhash64("b"), F.coalesce("chunks", F.lit(1))).cast("int")
+        pairs = pairs.join(many, "a", "left").select("a", "b", chunk.alias("part"))
+        heads = pairs.select("a", "part").distinct().select("a", "part", F.lit(True).alias("head"), F.col("a").alias("id"))
+        wanted = self.scratch.write(heads.unionByName(pairs.select("a", "part", F.lit(False).alias("head"), F.col("b").alias("id"))), "wanted")
+        # Only the texts asked for are dealt out, each once for a chunk that needs it.
+        ids = wanted.select(F.col("id.rep").alias("rep")).distinct()
+        texts = self.docs.join(ids.hint("merge") if many_texts else ids, F.col("doc_id") == F.col("rep"), "left_semi").distinct()
+        dealt = wanted.join(texts, F.col("id.rep") == F.col("doc_id")).select("a", "part", "head", "id", "text")
+        dealt = dealt.repartition("a", "part").sortWithinPartitions("a", "part", F.col("head").desc())
+        kind = pairs.schema["a"].dataType.simpleString()
+        return self.scratch.write(dealt.select("head", "id", "text").mapInArrow(_verify(order, self.percent), f"u {kind}, v {kind}"), "links")
+
+    def rows(self) -> DataFrame:
+        """doc_id, n, hi, lo, id (the class) and component (its least class) of every row; class
+        and component are null for rows without words."""
         put, percent = self.scratch.write, self.percent
-        scanned = put(self.docs.mapInArrow(_classes(), f"doc_id {self.kind}, n bigint, key binary, id bigint, chunk int, counts binary"), "classes")
+        scanned = put(self.docs.mapInArrow(_classes(), f"doc_id {self.kind}, n bigint, hi bigint, lo bigint, chunk int, counts binary"), "classes")
         order = self._order(scanned)
-        rows = scanned.where(F.col("chunk").isNull()).select("doc_id", "n", "key", "id")
-        reps = put(rows.where(F.col("key").isNotNull()).groupBy("key", "id").agg(F.min("doc_id").alias("rep")), "reps")
-        prefix = put(self.docs.select("text").mapInArrow(_prefixes(order, percent), "token bigint, id bigint, pos int"), "prefix")
-        lists = put(self._shared(prefix), "lists")
+        rows = scanned.where(F.col("chunk").isNull()).select("doc_id", "n", "hi", "lo")
+        reps = rows.where("n > 0").groupBy("hi", "lo", "n").agg(F.min("doc_id").alias("rep"))
+        reps = put(reps.select(F.struct("rep", "hi", "lo", "n").alias("id")), "reps")
+        prefix = put(self.docs.select("text").mapInArrow(_prefixes(order, percent), "token bigint, hi bigint, n bigint, pos int"), "prefix")
+        shared = put(self._shared(prefix, reps), "lists")
         self.scratch.drop_df(prefix)
-        counted = put(self._alone(lists), "counted")
-        self.scratch.drop_df(lists)
-        lists = put(self._centred(counted), "kept")
-        self.scratch.drop_df(counted)
+        lists = put(self._centred(shared), "kept")
+        self.scratch.drop_df(shared)
         links = self._links(lists, reps, order)
-        comp = components(links, self.scratch) if links is not None else None
-        out = rows.join(reps.select("key", "rep"), "key", "left")
-        own = F.coalesce(F.col("rep"), F.col("doc_id"))
-        if comp is not None:
-            out = out.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left")
-            own = F.coalesce(F.col("component"), own)
-        return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
-
-    def _links(self, lists: DataFrame, reps: DataFrame, order: Order) -> DataFrame | None:
+        comp = components(links, self.scratch).withColumnRenamed("node", "id")
+        found = reps.join(comp, "id", "left").select("id", F.coalesce("component", "id").alias("component"), F.col("id.hi").alias("hi"), F.col("id.lo").alias("lo"))
+        return rows.join(found, ["hi", "lo"], "left").select("doc_id", F.col("n"), "hi", "lo", F.when(F.col("n") > 0, F.col("id")).alias("id"), F.when(F.col("n") > 0, F.col("component")).alias("component"))
+
+    def run(self) -> DataFrame:
+        """doc_id, n_shingles, component_id for every row."""
+        return self.rows().select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component.rep", "doc_id").alias("component_id"))
+
+    def _links(self, lists: DataFrame, reps: DataFrame, order: Order) -> DataFrame:
         put, percent = self.scratch.write, self.percent
-        ids = lists.select("id").distinct()
-        wanted = put(reps.join(ids, "id").where(F.col("rep").isNotNull()).select("id", "rep", "key"), "wanted")
-        if wanted.isEmpty():
-            return None
-        found = self.docs.join(wanted, self.docs["doc_id"] == wanted["rep"]).select("id", "rep", "key", "text")
-        texts = put(found.mapInArrow(_same_text, f"id bigint, rep {self.kind}, text string"), "texts")
-        names = wanted.select("id", F.col("rep").alias("node"))
         pairs = lists.where(F.col("id") != F.col("centre")).select(F.col("centre").alias("a"), F.col("id").alias("b"))
-        links, tried, placed, at = None, None, None, None
-        for k in range(self.rounds + 2):
-            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where(_fits("a", "b", percent)).distinct()
-            if tried is not None:
-                pairs = pairs.join(tried, ["a", "b"], "left_anti")
-            if at is not None:
-                comp = lambda i: at.select(F.col("id").alias(i), F.col("comp").alias(f"comp_{i}"))  # noqa: B023, E731
-                pairs = pairs.join(comp("a"), "a").join(comp("b"), "b").where("comp_a <> comp_b").select("a", "b")
-            pairs = put(pairs, "pairs")
-            new = self._check(pairs, texts, order)
-            tried = pairs if tried is None else tried.unionByName(pairs)
-            links = new if links is None else links.unionByName(new)
-            if k > self.rounds:
-                break
-            found = components(links, self.scratch)
-            at = put(names.join(found, "node", "left").groupBy("id").agg(F.min(F.coalesce("component", "node")).alias("comp")), "placed")
-            if placed is not None:
-                self.scratch.drop_df(placed)
-            now = lists.join(at, "id")
-            mixed = now.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(F.col("lo") != F.col("hi")).select("token")
-            placed = put(now.join(mixed, "token").select("token", "id", "pos", "comp"), "open")
-            if placed.isEmpty():
-                break
-            lists = placed.select("token", "id", "pos")
-            pairs = self._hubs(lists, k) if k < self.rounds else self._across(placed)
-        return links
-
-    def _hubs(self, lists: DataFrame, k: int) -> DataFrame:
-        """Pairs of every class with a few centres of each of its shingles.  A centre is
-        the least id after an exclusive or with a constant, another one for each centre."""
-        draw = np.random.Generator(np.random.PCG64([11, k])).integers(1 << 62, size=self.hubs)
-        masks = [F.lit(int(m)) for m in draw]
-        hubs = lists.groupBy("token").agg(*[F.min(F.col("id").bitwiseXOR(m)).alias(f"h{i}") for i, m in enumerate(masks)])
-        joined = lists.join(hubs, "token")
-        parts = [joined.select(F.col(f"h{i}").bitwiseXOR(m).alias("a"), F.col("id").alias("b")).where("a <> b") for i, m in enumerate(masks)]
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
-        return out
+        tried = put(pairs.unionByName(self._clashes(reps)).where(_fits(percent)).distinct(), "pairs")
+        links = self._check(tried, order, True)
+        # What is one component by now needs no more pairs; a component is told by its least class's digest.
+        comp = components(links, self.scratch).select(F.col("node").alias("id"), F.struct("component.hi", "component.lo").alias("comp"))
+        now = lists.select("token", "id", "pos").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", F.struct("id.hi", "id.lo")))
+        mixed = now.groupBy("token").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where(F.col("least") != F.col("most")).select("token")
+        left = put(now.join(mixed, "token").select("token", "id", "pos", "comp"), "open")
+        if left.isEmpty():
+            return links
+        done = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        pairs = put(self._across(left).distinct().join(done, ["a", "b"], "left_anti"), "pairs")
+        return links.unionByName(self._check(pairs, order, False))
 
     def _across(self, placed: DataFrame) -> DataFrame:
-        """All pairs of classes of different components that share a prefix shingle."""
-        other = placed.select("token", F.col("id").alias("a"), F.col("pos").alias("pos_a"), F.col("comp").alias("comp_a"))
-        mine = placed.select("token", F.col("id").alias("b"), F.col("pos").alias("pos_b"), F.col("comp").alias("comp_b"))
-        on = (other["token"] == mine["token"]) & (F.col("a") < F.col("b")) & (F.col("comp_a") != F.col("comp_b")) & _fits("a", "b", self.percent) & _places(self.percent)
-        return other.join(mine, on).select("a", "b")
-
-
-def _places(percent: int):
-    """Positional filter for a shared prefix shingle at the places pos_a and pos_b.
-
-    As if it were the pair's first shared one, before which nothing is shared: a pair that
-    is similar passes at its first one, so that failing at later ones loses nothing.
-    """
-    na, nb = _size("a"), _size("b")
-    most = (1 << _N_BITS) - 1
-    top = F.least(na - F.col("pos_a"), nb - F.col("pos_b"))
-    return (F.greatest(na, nb) == most) | (top * (100 + percent) >= percent * (na + nb))
-
-
-def _same_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose text has the wanted digest (ids may repeat with other texts)."""
+        """All pairs of classes of different components that share a prefix shingle and may
+        be similar by their sizes and its places; ``a`` is the larger one."""
+        percent, n, pos = self.percent, F.col("id.n"), F.col("pos")
+        band = lambda size: F.floor(F.log(size.cast("double")) * 10).cast("int")
+        # Of two similar sets the smaller one, y, has their first shared shingle among its
+        # first y - need(y, y) + 1; the larger one, x, at a place that leaves need(x, y).
+        index = placed.where(n - F.ceil(2 * percent * n / (100 + percent)) + 1 > pos)
+        index = index.select("token", band(n).alias("band"), F.col("id").alias("b"), F.col("pos").alias("pos_b"), F.col("comp").alias("comp_b"))
+        low = F.ceil(percent * n / 100)
+        high = F.least(n, F.floor((100 + percent) * (n - pos) / percent) - n)
+        probe = placed.where(low <= high).select("token", F.explode(F.sequence(band(low), band(high))).alias("band"), F.col("id").alias("a"), F.col("pos").alias("pos_a"), F.col("comp").alias("comp_a"))
+        larger = F.struct("b.n", "b.hi", "b.lo") < F.struct("a.n", "a.hi", "a.lo")
+        joined = probe.join(index, ["token", "band"]).where(larger & (F.col("comp_a") != F.col("comp_b")) & _fits(percent) & _places(percent))
+        return joined.select("a", "b")
+
+
+def _with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ok = [xxhash.xxh3_128_digest(b" ".join(words_of(t))) == k for k, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-        yield pa.record_batch([batch.column(0), batch.column(1), batch.column(3)], names=["id", "rep", "text"]).filter(pa.array(ok, pa.bool_()))
+        hi, lo = zip(*map(class_of, map(words_of, batch.column(0).to_pylist()))) if batch.num_rows else ((), ())
+        yield pa.record_batch([*batch.columns[1:], pa.array(hi, pa.int64()), pa.array(lo, pa.int64())], names=[*batch.schema.names[1:], "class_hi", "class_lo"])
 
 
 def ngram_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -377,8 +377,23 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One document of each component, the one with the least id, with all columns.
 
-    Rows with one id are one document here; rows without an id stay.
+    A document is known by its id and words: rows with one id and other words are documents
+    of their own, rows alike in both are one and stay together.  Rows without an id stay.
     """
-    comp = ngram_components(docs, percent)
-    gone = comp.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    join = NgramJoin(docs, percent)
+    first = F.col("id").isNull() | ((F.col("id") == F.col("component")) & (F.col("doc_id") == F.col("component.rep")))
+    rows = join.rows().where(F.col("doc_id").isNotNull()).select("doc_id", "hi", "lo", (~first).alias("gone"))
+    by_id = rows.groupBy("doc_id").agg(F.min("gone").alias("all"), F.max("gone").alias("any"))
+    gone = by_id.where("any").select(F.col("doc_id").alias("gone_id"), "all")
+    partly = join.scratch.write(gone.where(~F.col("all")).select("gone_id"), "partly")
+    out = docs.join(gone.select("gone_id"), docs["doc_id"] == F.col("gone_id"), "left_anti")
+    if partly.isEmpty():
+        return out
+    # Ids of which some texts stay: those rows are told apart by their words.
+    mixed = docs.join(partly, docs["doc_id"] == F.col("gone_id"), "left_semi")
+    fields = ", ".join(f"`c{i}` {f.dataType.simpleString()}" for i, f in enumerate(mixed.schema))
+    named = mixed.select(F.col("text").alias("_t"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(mixed.columns)]).mapInArrow(_with_class, f"{fields}, class_hi bigint, class_lo bigint")
+    stay = rows.where(~F.col("gone")).select(F.col("doc_id").alias("stay"), "hi", "lo")
+    at = f"c{docs.columns.index('doc_id')}"
+    kept = named.join(stay, (F.col(at) == F.col("stay")) & (F.col("class_hi") == F.col("hi")) & (F.col("class_lo") == F.col("lo")), "left_semi")
+    return out.unionByName(kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]))
