@@ -5,7 +5,9 @@ publish, clean, audit.  Exit codes: 0 fine, 1 lint, 2 usage, 3 validation, 4 fet
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
+import os
 import sys
 from pathlib import Path
 
@@ -28,25 +30,48 @@ def _show(found: list) -> None:
         print(f"{severity}: {code}: {message}" + (f" ({at})" if at else ""))
 
 
+def global_log() -> Path:
+    """The log of all runs of this user."""
+    return Path(os.environ.get("SCRIPTORIUM_AUDIT") or Path.home() / ".local/share/scriptorium/audit.jsonl")
+
+
+def stamp(raw: str | None) -> str | None:
+    """A bound as the log writes times, in UTC; what has no zone is UTC; None if it is no time."""
+    try:
+        found = dt.datetime.fromisoformat((raw or "").strip())
+    except ValueError:
+        return None
+    found = found.replace(tzinfo=dt.UTC) if found.tzinfo is None else found.astimezone(dt.UTC)
+    return found.isoformat().replace("+00:00", "Z")
+
+
+def _cache(a):
+    from .sources.cache import CacheStore
+
+    return None if getattr(a, "no_cache", False) else CacheStore(a.cache)
+
+
 def _audit(a) -> int:
     from pyspark.errors import PySparkException
 
     from .operators import audit as A
     from .sources.readers import numbered_lines
 
-    path = Path(a.audit_file or (Path(a.directory) / "_audit.jsonl" if a.directory else Path.home() / ".local/share/scriptorium/audit.jsonl"))
+    path = Path(a.audit_file or (Path(a.directory) / "_audit.jsonl" if a.directory else global_log()))
     if not path.is_file():
         if not a.directory and not a.audit_file:
             print("no runs")
             return 0
         print(f"{path}: not found", file=sys.stderr)
         return 6
-    if a.limit is not None and a.limit <= 0:
+    since, until = stamp(a.since), stamp(a.until)
+    if (a.limit is not None and a.limit <= 0) or (a.since and not since) or (a.until and not until):
+        print("--limit is above zero; --since and --until are dates or times", file=sys.stderr)
         return 2
     spark = _session()
     try:
         runs, unknown = A.read_log(numbered_lines(spark, str(path)))
-        runs = A.select_runs(runs, a.since, a.until, a.recipe_sha)
+        runs = A.select_runs(runs, since, until, a.recipe_sha)
         if a.limit:
             runs = A.tail(runs, a.limit)
         if a.summary:
@@ -69,9 +94,13 @@ def _render(a) -> int:
     recipe = _load(a.recipe)
     try:
         if a.dry_run:
-            print(json.dumps(run.plan(_session(), recipe)))
+            print(json.dumps(run.plan(_session(), recipe, _cache(a))))
             return 0
-        print(json.dumps(run.render(_session(), recipe, force=a.force, resume=a.resume)))
+        quiet = a.no_audit or os.environ.get("SCRIPTORIUM_NO_AUDIT")
+        stats = run.render(_session(), recipe, force=a.force, resume=a.resume, cache=_cache(a), audit=None if quiet else [str(global_log())], log=not quiet)
+        for failed in stats["audit_failures"]:
+            print(f"the audit log couldn't be written: {failed}", file=sys.stderr)
+        print(json.dumps(stats))
     except (DestinationNotEmptyError, SnapshotError) as e:
         print(e, file=sys.stderr)
         return 6
@@ -82,24 +111,40 @@ def _render(a) -> int:
 
 
 def _publish(a) -> int:
+    """Stages the dataset by its mode, and uploads it unless ``--dry-run`` says what would be
+    done.  A flag goes before the recipe, the recipe before the default."""
     from .sources import sinks
 
     recipe = _load(a.recipe)
+    ours = recipe.publish or R.Publish()
     staging = Path(a.staging or f"{recipe.output.destination}-staging")
-    staged = sinks.stage_recognition(recipe.output.destination, staging, recipe.publish.license if recipe.publish else None, overwrite=True)
-    problems = sinks.preflight(staging)
-    print(json.dumps(staged | {"problems": problems}))
+    repo, private = a.repo or ours.repo_id, ours.private if a.private is None else a.private
+    try:
+        staged = sinks.STAGING[recipe.output.mode](recipe.output.destination, staging, a.license or ours.license, overwrite=True)
+    except (sinks.StagingError, OSError) as e:
+        print(e, file=sys.stderr)
+        return 6
+    problems = sinks.preflight(staging) if (staging / "README.md").is_file() else [("README.md", "missing")]
+    plan = staged | {"mode": recipe.output.mode, "repo": repo, "private": private, "tag": a.tag, "message": sinks.commit_message(a.message, staging), "files": sum(p.is_file() for p in staging.rglob("*")), "bytes": sum(p.stat().st_size for p in staging.rglob("*") if p.is_file()), "problems": problems}
+    print(json.dumps(plan))
     if a.dry_run:
         return 0
-    print("no transport is installed; use sources.sinks.publish with one", file=sys.stderr)
-    return 7
+    if problems or not repo:
+        print(f"nothing is published: {problems or 'no repository is named'}", file=sys.stderr)
+        return 7
+    try:
+        token = sinks.resolve_token(a.token, dict(os.environ), Path.home() / ".cache/huggingface/token")
+        print(json.dumps(sinks.publish(sinks.HubTransport(token), repo, staging, private=private, message=a.message, tag=a.tag)))
+    except Exception as e:  # noqa: BLE001 - whatever stops an upload is its exit code
+        print(e, file=sys.stderr)
+        return 7
+    return 0
 
 
 def _fetch(a) -> int:
     from .plans import run
-    from .sources.cache import CacheStore
 
-    rows = run.fetch(_session(), _load(a.recipe), CacheStore(a.cache), a.refresh)
+    rows = run.fetch(_session(), _load(a.recipe), _cache(a), a.refresh)
     print("\n".join(json.dumps(r) for r in rows))
     return 4 if any(r["error"] for r in rows) else 0
 
@@ -116,7 +161,11 @@ def _clean(a) -> int:
 def _preview(a) -> int:
     from .plans import run
 
-    print(json.dumps(run.preview(_session(), _load(a.recipe), a.out, a.count)))
+    try:
+        print(json.dumps(run.preview(_session(), _load(a.recipe), a.out, a.count, _cache(a))))
+    except Exception as e:  # noqa: BLE001 - whatever stops a run is its exit code
+        print(e, file=sys.stderr)
+        return 5
     return 0
 
 
@@ -149,9 +198,11 @@ def main(argv: list[str] | None = None) -> int:
     command("describe", lambda a: print(_load(a.recipe).model_dump_json(indent=1)) or 0)
     command("schema", lambda a: print(json.dumps(R.json_schema(), indent=1)) or 0, recipe=False)
     command("fetch", _fetch, cache, (["--refresh"], yes))
-    command("preview", _preview, (["--out"], {"default": "preview"}), (["--count"], {"type": int, "default": 50}))
-    command("render", _render, (["--force"], yes), (["--resume"], yes), (["--dry-run"], yes))
-    command("publish", _publish, (["--staging"], {}), (["--dry-run"], yes))
+    uncached = (["--no-cache"], yes)
+    command("preview", _preview, cache, uncached, (["--out"], {"default": "preview"}), (["--count"], {"type": int, "default": 50}))
+    command("render", _render, cache, uncached, (["--no-audit"], yes), (["--force"], yes), (["--resume"], yes), (["--dry-run"], yes))
+    named = [([f"--{n}"], {}) for n in ("staging", "repo", "license", "message", "tag", "token")]
+    command("publish", _publish, *named, (["--private"], {"action": argparse.BooleanOptionalAction}), (["--dry-run"], yes))
     command("clean", _clean, cache)
     command("audit", _audit, (["directory"], {"nargs": "?"}), (["--audit-file"], {}), (["--since"], {}), (["--until"], {}), (["--recipe-sha"], {}), (["--limit"], {"type": int}), (["--summary"], yes), recipe=False)
     a = p.parse_args(argv)

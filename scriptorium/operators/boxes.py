@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -77,27 +80,31 @@ def aligned(width: Column, widest: Column, alignment: str) -> Column:
         raise ValueError(f"alignment {alignment!r} is unknown") from None
 
 
-def wrap(text: Column, budget: Column, first_indent: Column | None = None, space: int = 1, measure=F.length) -> Column:
+def wrap(text: Column, budget: Column, first_indent: Column | None = None, space: int = 1, measure: Callable[[str], float] = len) -> Column:
     """Greedy filling: a word goes on the line if it fits, else it starts the next one; a
     word longer than the line stands alone.  Widths come from ``measure``.
 
-    A fold over the words with (lines done, words of the open line, its width): each step
-    costs the open line, not the text.
+    In Arrow batches, linear in the text: a fold of expressions copies what is done with
+    every line.
     """
-    words = F.filter(F.split(text, r"(?U)[\s\x1c-\x1f]+"), lambda w: w != "")
-    indent = F.lit(0) if first_indent is None else first_indent
-    zero = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"), F.lit(0).cast("long").alias("width"))
-
-    def add(acc: Column, word: Column) -> Column:
-        size = measure(word).cast("long")
-        room = budget - F.when(F.size(acc["done"]) == 0, indent).otherwise(F.lit(0))
-        fits = acc["width"] + space + size <= room
-        fresh = acc["open"] == ""
-        done = F.when(fresh | fits, acc["done"]).otherwise(F.array_append(acc["done"], acc["open"]))
-        line = F.when(~fresh & fits, F.concat(acc["open"], F.lit(" "), word)).otherwise(word)
-        return F.struct(done.alias("done"), line.alias("open"), F.when(~fresh & fits, acc["width"] + space + size).otherwise(size).alias("width"))
-
-    return F.aggregate(words, zero, add, lambda acc: F.when(acc["open"] == "", acc["done"]).otherwise(F.array_append(acc["done"], acc["open"])))
+
+    @F.pandas_udf("array<string>")
+    def run(texts: pd.Series, budgets: pd.Series, indents: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else filled(t, b, i, space, measure) for t, b, i in zip(texts, budgets, indents)])
+
+    return run(text, budget, F.lit(0) if first_indent is None else first_indent)
+
+
+def filled(text: str, budget: float, indent: float, space: float, measure: Callable[[str], float]) -> list[str]:
+    lines, line, width, room = [], [], 0, budget - indent
+    for word in text.split():
+        size = measure(word)
+        if line and width + space + size > room:
+            lines.append(" ".join(line))
+            line, room = [], budget
+        width = width + space + size if line else size
+        line.append(word)
+    return [*lines, " ".join(line)] if line else lines
 
 
 def shift(boxes: Column, dx: Column, dy: Column) -> Column:

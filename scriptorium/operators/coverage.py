@@ -115,13 +115,22 @@ def codepoints(text: Column) -> Column:
 def uncovered(tokens: DataFrame, covered: DataFrame, token: str = "token") -> DataFrame:
     """(token, font, missing) for the fonts that lack a character of the token.
 
-    tokens meet a font list by its (bounded) number of fonts as arrays; covered: font,
-    chars array<string>.
+    covered: font, chars array<string>.  The distinct characters of all tokens are held
+    against each font first; on the driver that is at most one entry a code point and a
+    font of the recipe.  A token then costs one look at its characters a font.
     """
-    chars = F.array_distinct(F.filter(F.split(F.col(token), ""), lambda c: c != ""))
-    each = tokens.select(token, chars.alias("chars")).crossJoin(F.broadcast(covered.withColumnRenamed("chars", "font_chars")))
-    lack = F.array_sort(F.array_except("chars", "font_chars"))
-    return each.select(token, "font", lack.alias("missing")).where(F.size("missing") > 0)
+    letters = {r[0] for r in tokens.select(F.explode(F.array_distinct(F.split(F.col(token), ""))).alias("c")).distinct().collect()} - {""}
+    lists = []
+    for r in covered.collect():
+        known = letters & set(r["chars"])
+        if known < letters:
+            rest = F.translate(F.col(token), "".join(sorted(known)), "") if known else F.col(token)
+            lists.append(F.struct(F.lit(r["font"]).alias("font"), rest.alias("rest")))
+    if not lists:
+        return tokens.select(token, F.lit("").alias("font"), F.array().cast("array<string>").alias("missing")).where("false")
+    each = tokens.select(token, F.explode(F.filter(F.array(*lists), lambda x: x["rest"] != "")).alias("lack"))
+    missing = F.array_sort(F.array_distinct(F.filter(F.split("lack.rest", ""), lambda c: c != "")))
+    return each.select(token, "lack.font", missing.alias("missing"))
 
 
 def coverage_counts(texts: Column, chars: Column) -> Column:

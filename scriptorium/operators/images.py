@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import math
 import struct
 import zlib
 from collections.abc import Callable
+from pathlib import Path
 
 import numpy as np
 
@@ -21,18 +23,123 @@ def png_encode(rgb: np.ndarray) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(raw, 6)) + chunk(b"IEND", b"")
 
 
+#: Samples of a pixel by PNG colour type.
+_SAMPLES = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}
+
+
+def _unfilter(raw: np.ndarray, bpp: int) -> np.ndarray:
+    """Rows of bytes without their filter bytes and filters."""
+    out = np.zeros((len(raw), raw.shape[1] - 1), np.uint8)
+    above = np.zeros(raw.shape[1] - 1, np.uint8)
+    for y, (kind, line) in enumerate(zip(raw[:, 0].tolist(), raw[:, 1:])):
+        if kind == 0:
+            now = line
+        elif kind == 1:  # differences from the left: running sums, byte by byte of a pixel
+            now = np.concatenate([line, np.zeros(-len(line) % bpp, np.uint8)]).reshape(-1, bpp).cumsum(axis=0, dtype=np.uint8).ravel()[: len(line)]
+        elif kind == 2:
+            now = line + above
+        elif kind in (3, 4):
+            now = _along(line.tolist(), above.tolist(), bpp, kind == 4)
+        else:
+            raise StageError(f"PNG: filter {kind} is unknown")
+        out[y] = above = now
+    return out
+
+
+def _along(line: list[int], above: list[int], bpp: int, paeth: bool) -> np.ndarray:
+    """The two filters that look at the byte to the left as it comes out."""
+    out = bytearray(len(line))
+    for i, v in enumerate(line):
+        left, up = (out[i - bpp] if i >= bpp else 0), above[i]
+        if paeth:
+            corner = above[i - bpp] if i >= bpp else 0
+            near = left + up - corner
+            guess = min((left, up, corner), key=lambda x: abs(near - x))
+        else:
+            guess = (left + up) >> 1
+        out[i] = (v + guess) & 255
+    return np.frombuffer(bytes(out), np.uint8)
+
+
 def png_decode(data: bytes) -> np.ndarray:
-    """What ``png_encode`` wrote: 8-bit RGB without filters."""
-    at, body, w, h = 8, b"", 0, 0
-    while at < len(data):
+    """RGB of a PNG of any colour type and depth; alpha is left out, interlacing refused."""
+    if data[:8] != b"\x89PNG\r\n\x1a\n":
+        raise StageError("not a PNG")
+    at, body, palette, head = 8, b"", None, None
+    while at + 8 <= len(data):
         size, kind = struct.unpack(">I4s", data[at : at + 8])
+        part = data[at + 8 : at + 8 + size]
         if kind == b"IHDR":
-            w, h = struct.unpack(">II", data[at + 8 : at + 16])
+            head = struct.unpack(">IIBBBBB", part)
+        elif kind == b"PLTE":
+            palette = np.frombuffer(part, np.uint8).reshape(-1, 3)
         elif kind == b"IDAT":
-            body += data[at + 8 : at + 8 + size]
+            body += part
         at += 12 + size
-    rows = np.frombuffer(zlib.decompress(body), np.uint8).reshape(h, 1 + 3 * w)
-    return rows[:, 1:].reshape(h, w, 3).copy()
+    if head is None or head[3] not in _SAMPLES or head[6]:
+        raise StageError("PNG: interlaced or without a head")
+    w, h, depth, colour = head[:4]
+    samples = _SAMPLES[colour]
+    row = -(-w * samples * depth // 8)
+    try:
+        raw = np.frombuffer(zlib.decompress(body), np.uint8)[: h * (row + 1)].reshape(h, row + 1)
+    except (zlib.error, ValueError) as e:
+        raise StageError(f"PNG: {e}") from e
+    lines = _unfilter(raw, max(1, samples * depth // 8))
+    if depth == 16:
+        lines = lines[:, ::2]
+    elif depth < 8:
+        bits = np.unpackbits(lines, axis=1).reshape(h, -1, depth)
+        lines = (bits * (1 << np.arange(depth - 1, -1, -1))).sum(axis=2).astype(np.uint8)
+        if colour == 0:
+            lines = lines * np.uint8(255 // ((1 << depth) - 1))
+    px = lines[:, : w * samples].reshape(h, w, samples)
+    if colour == 3:
+        if palette is None or px.max(initial=0) >= len(palette):
+            raise StageError("PNG: a colour isn't in the palette")
+        return palette[px[..., 0]].copy()
+    return np.repeat(px[..., :1], 3, axis=2) if colour in (0, 4) else px[..., :3].copy()
+
+
+def bmp_decode(data: bytes) -> np.ndarray:
+    """RGB of an uncompressed BMP of 24 or 32 bits a pixel."""
+    if data[:2] != b"BM" or len(data) < 54:
+        raise StageError("not a BMP")
+    start, (w, h), bits, packed = struct.unpack("<I", data[10:14])[0], struct.unpack("<ii", data[18:26]), struct.unpack("<H", data[28:30])[0], struct.unpack("<I", data[30:34])[0]
+    if bits not in (24, 32) or packed not in (0, 3):
+        raise StageError("BMP: only 24 and 32 bits without compression")
+    row = -(-w * bits // 32) * 4
+    px = np.frombuffer(data, np.uint8, row * abs(h), start).reshape(abs(h), row)[:, : w * bits // 8].reshape(abs(h), w, bits // 8)[..., 2::-1]
+    return (px[::-1] if h > 0 else px).copy()
+
+
+#: Suffixes of images in a texture folder, and the readers that need no codec.
+TEXTURES = (".png", ".jpg", ".jpeg", ".webp", ".bmp", ".tiff", ".tif")
+DECODERS: dict[str, Callable[[bytes], np.ndarray]] = {".png": png_decode, ".bmp": bmp_decode}
+
+
+def list_textures(folder: str | None) -> list[Path]:
+    """The images of a texture folder by name; those that need a codec are refused by name."""
+    if not folder:
+        raise StageError("paper_texture: no directory")
+    if not Path(folder).is_dir():
+        raise StageError(f"paper_texture: {folder} isn't a folder")
+    found = sorted(p for p in Path(folder).iterdir() if p.suffix.lower() in TEXTURES)
+    if not found:
+        raise StageError(f"paper_texture: no image in {folder}")
+    odd = [p.name for p in found if p.suffix.lower() not in DECODERS]
+    if odd:
+        raise StageError(f"paper_texture: no codec for {', '.join(odd)}; textures are PNG or BMP")
+    return found
+
+
+@functools.lru_cache(maxsize=16)
+def texture_of(name: str) -> np.ndarray:
+    """A texture that Spark sent to this machine, decoded."""
+    from pyspark import SparkFiles
+
+    path = Path(SparkFiles.get(name))
+    return DECODERS[path.suffix](path.read_bytes())
 
 
 # ------------------------------------------------------------- glyphs
@@ -270,21 +377,43 @@ def blend_images(mode: str, base: np.ndarray, top: np.ndarray) -> np.ndarray:
     return modes[mode] * 255
 
 
+def resized(rgb: np.ndarray, w: int, h: int) -> np.ndarray:
+    """Bilinear, pixel centres on pixel centres."""
+    y, x = ((np.arange(n) + 0.5) * m / n - 0.5 for n, m in ((h, rgb.shape[0]), (w, rgb.shape[1])))
+    y, x = np.clip(y, 0, rgb.shape[0] - 1), np.clip(x, 0, rgb.shape[1] - 1)
+    y0, x0 = y.astype(int), x.astype(int)
+    y1, x1 = np.minimum(y0 + 1, rgb.shape[0] - 1), np.minimum(x0 + 1, rgb.shape[1] - 1)
+    fy, fx, px = (y - y0)[:, None, None], (x - x0)[None, :, None], rgb.astype(float)
+    return _byte((px[y0][:, x0] * (1 - fx) + px[y0][:, x1] * fx) * (1 - fy) + (px[y1][:, x0] * (1 - fx) + px[y1][:, x1] * fx) * fy)
+
+
 def paper_texture(rgb, o, rng):
-    """``textures``: decoded images that the runner read from the stage's folder."""
-    textures = o.get("textures") or []
+    """A random texture, scaled and turned on its own canvas, a random cut of it or, where it
+    is smaller, tiles of it, blended in by the opacity.
+
+    ``textures``: the names of files that Spark sent along, or decoded images.
+    """
+    k = min(1.0, _number(o.get("opacity", 0.5), rng))
+    scale, angle = _number(o.get("scale", 1.0), rng), _number(o.get("rotate_deg", 0), rng)
+    if k <= 0:
+        return rgb
+    textures = o.get("textures")
     if not textures:
-        raise StageError("paper_texture: no texture to draw from")
+        textures = [DECODERS[p.suffix.lower()](p.read_bytes()) for p in list_textures(o.get("directory"))]
     t = textures[int(rng.integers(len(textures)))]
-    scale, angle = _number(o.get("scale", 1.0), rng), _number(o.get("rotate_deg", 0), rng)
+    t = texture_of(t) if isinstance(t, str) else t
     if scale != 1:
-        h, w = (max(1, round(n * scale)) for n in t.shape[:2])
-        t = t[(np.arange(h) * t.shape[0] // h)][:, (np.arange(w) * t.shape[1] // w)]
+        t = resized(t, max(1, round(t.shape[1] * scale)), max(1, round(t.shape[0] * scale)))
     if angle:
-        t = rotate(t, angle, (255, 255, 255))[0]
+        full, (h, w) = rotate(t, angle, (0, 0, 0))[0], t.shape[:2]
+        y, x = (full.shape[0] - h) // 2, (full.shape[1] - w) // 2
+        t = full[max(0, y) : max(0, y) + h, max(0, x) : max(0, x) + w]
     h, w = rgb.shape[:2]
-    t = np.tile(t, (-(-h // t.shape[0]), -(-w // t.shape[1]), 1))[:h, :w]
-    k = min(1.0, max(0.0, _number(o.get("opacity", 0.5), rng)))
+    if t.shape[0] < h or t.shape[1] < w:
+        t = np.tile(t, (-(-h // t.shape[0]), -(-w // t.shape[1]), 1))[:h, :w]
+    else:
+        y, x = int(rng.integers(t.shape[0] - h + 1)), int(rng.integers(t.shape[1] - w + 1))
+        t = t[y : y + h, x : x + w]
     return _byte(rgb * (1 - k) + blend_images(o.get("blend", "multiply"), rgb, t) * k)
 
 
@@ -437,15 +566,29 @@ PIXEL_STAGES: dict[str, Callable] = {
 GEOMETRY_STAGES: dict[str, Callable] = {"skew": skew}
 
 
-def degrade(sample: dict, stages: list[dict], rng) -> dict:
+def register_stage(kind: str, stage: Callable, geometry: bool = False) -> None:
+    """Adds a stage: ``(image, options, rng) -> image`` or, for ``geometry``,
+    ``(sample, options, rng) -> sample``.  A kind is registered once."""
+    if not kind or kind in PIXEL_STAGES or kind in GEOMETRY_STAGES:
+        raise StageError(f"degradation {kind!r} is registered already or has no name")
+    (GEOMETRY_STAGES if geometry else PIXEL_STAGES)[kind] = stage
+
+
+def registered(kinds: list[str]) -> tuple[dict[str, Callable], dict[str, Callable]]:
+    """The stages of these kinds, for the workers: (pixel stages, geometry stages)."""
+    return tuple({k: held[k] for k in kinds if k in held} for held in (PIXEL_STAGES, GEOMETRY_STAGES))
+
+
+def degrade(sample: dict, stages: list[dict], rng, known: tuple[dict, dict] | None = None) -> dict:
     """The stages in order; each takes one draw, and is skipped when that reaches its
-    probability."""
+    probability.  ``known``: the registered stages, where a worker got them from the driver."""
+    pixel, geometry = known or (PIXEL_STAGES, GEOMETRY_STAGES)
     for stage in stages:
         options = {k: v for k, v in stage.items() if k not in ("kind", "probability", "name")}
         kind = stage["kind"]
-        if kind not in PIXEL_STAGES and kind not in GEOMETRY_STAGES:
+        if kind not in pixel and kind not in geometry:
             raise StageError(f"degradation {kind!r} is unknown")
         if rng.random() >= stage.get("probability", 1.0):
             continue
-        sample = GEOMETRY_STAGES[kind](sample, options, rng) if kind in GEOMETRY_STAGES else {**sample, "image": PIXEL_STAGES[kind](sample["image"], options, rng)}
+        sample = geometry[kind](sample, options, rng) if kind in geometry else {**sample, "image": pixel[kind](sample["image"], options, rng)}
     return sample

@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from .images import Outlines, StageError, degrade, png_encode, rasterize
+from .images import Outlines, StageError, degrade, png_encode, rasterize, registered
 from .tokenize import LINE_ENDS
 
 BOX = "struct<x0:int,y0:int,x1:int,y1:int>"
@@ -201,6 +201,7 @@ def render_rows(samples: DataFrame, mode: str, fonts: dict[str, bytes], layout:
     if mode not in MODES:
         raise ValueError(f"layout mode {mode!r} is unknown")
     layout, stages = layout or {}, stages or []
+    known = registered([s["kind"] for s in stages])
 
     def one(index: int, text: str, style: dict) -> dict:
         row = {c.split()[0]: None for c in ("text", "status", "reason", "message", "missing", "width", "height", "bbox", "glyphs", "word_boxes", "line_boxes", "paragraph_boxes", "image")}
@@ -214,7 +215,7 @@ def render_rows(samples: DataFrame, mode: str, fonts: dict[str, bytes], layout:
         except (RenderError, KeyError, ValueError) as e:
             return row | {"status": "skipped", "reason": "render_error", "message": str(e)}
         try:
-            sample = degrade(sample, stages, np.random.Generator(np.random.PCG64([seed & 0x7FFFFFFF, index])))
+            sample = degrade(sample, stages, np.random.Generator(np.random.PCG64([seed & 0x7FFFFFFF, index])), known)
         except (StageError, ValueError, TypeError) as e:
             return row | {"status": "skipped", "reason": "degradation_error", "message": str(e)}
         boxes = lambda kind: [{"text": t, "bbox": box(b)} for t, b in sample[kind]]

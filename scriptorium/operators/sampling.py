@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,27 +85,40 @@ def draw_style(df: DataFrame, recipe: dict, seed: int, index: str = "index", pag
     return df.withColumn("style", F.struct(*parts))
 
 
-def pick_tokens(spark: SparkSession, tokens: DataFrame, count: int, seed: int, token: str = "token", order: list[str] | None = None) -> DataFrame:
-    """``count`` draws with replacement, uniform over occurrences: (index, token).
+def pick_from_texts(spark: SparkSession, texts: DataFrame, tokens: Column, count: int, seed: int, key: list[str] | None = None) -> DataFrame:
+    """``count`` draws with replacement, uniform over all tokens of all texts: (index, token).
 
-    Tokens are numbered without a global sort: each partition's size gives its first
-    number (one number a partition on the driver), then draws and tokens meet by number.
+    ``tokens``: a text's tokens as an array; ``key`` orders the texts, else they are taken
+    as they come.  Tokens are counted, not numbered: running sums of the texts' counts
+    give each text its span of numbers, draws and spans meet in cells of numbers, and only
+    texts that a draw hits are split into rows.
     """
-    ranged = tokens.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order) if order else tokens
+    nothing = T.StructType([T.StructField("index", T.LongType()), T.StructField("token", T.StringType())])
+    ordered = texts.repartitionByRange(*[F.col(c) for c in key]).sortWithinPartitions(*key) if key else texts
+    place = [F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("mono")]
     # Written once: a range partitioning that is done again draws other bounds.
-    numbered = Scratch(spark, "tokens").write(ranged.select(F.col(token).alias("token"), F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("mono")))
-    sizes = {r["part"]: r["n"] for r in numbered.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(sizes.values())
+    held = Scratch(spark, "tokens").write(ordered.select(tokens.alias("tokens"), *place).withColumn("n", F.size("tokens").cast("long")))
+    parts = held.groupBy("part").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"))
+    total, n_texts = held.agg(F.coalesce(F.sum(F.greatest("n", F.lit(0))), F.lit(0)), F.count(F.lit(1))).first()
     if not total:
-        return spark.createDataFrame([], T.StructType([T.StructField("index", T.LongType()), T.StructField("token", T.StringType())]))
-    starts, at = [], 0
-    for p in range(max(sizes) + 1):
-        starts.append(at)
-        at += sizes.get(p, 0)
-    first = F.get(F.array(*[F.lit(s).cast("long") for s in starts]), F.col("part")) if len(starts) > 1 else F.lit(0).cast("long")
-    placed = numbered.select("token", (first + F.col("mono").bitwiseAND(F.lit((1 << 33) - 1))).alias("at"))
+        return spark.createDataFrame([], nothing)
+    up_to = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
+    first = parts.select("part", F.coalesce(F.sum("n").over(up_to(W.orderBy("part"))), F.lit(0)).alias("first"))  # a row a partition
+    inner = F.coalesce(F.sum("n").over(up_to(W.partitionBy("part").orderBy("mono"))), F.lit(0))
+    spans = held.select("part", "mono", "n").withColumn("inner", inner).join(first, "part").where("n > 0").select("mono", (F.col("first") + F.col("inner")).alias("start"), "n")
+    cell = max(1, total // n_texts)
+    cells = F.sequence(F.floor(F.col("start") / cell), F.floor((F.col("start") + F.col("n") - 1) / cell))
     draws = spark.range(count).select(F.col("id").alias("index"), F.floor(hash01(F.lit(seed), F.col("id"), F.lit("pick")) * total).cast("long").alias("at"))
-    return draws.join(placed, "at").select("index", "token")
+    spread = spans.select("mono", "start", "n", F.explode(cells).alias("cell"))
+    hits = draws.withColumn("cell", F.floor(F.col("at") / cell)).join(spread, "cell").where((F.col("at") >= F.col("start")) & (F.col("at") < F.col("start") + F.col("n")))
+    hits = Scratch(spark, "hits").write(hits.select("index", F.col("mono"), (F.col("at") - F.col("start")).cast("int").alias("pos")))
+    split = held.select("mono", "tokens").join(hits.select("mono").distinct(), "mono", "left_semi").select("mono", F.posexplode("tokens").alias("pos", "token"))
+    return hits.join(split, ["mono", "pos"]).select("index", "token")
+
+
+def pick_tokens(spark: SparkSession, tokens: DataFrame, count: int, seed: int, token: str = "token", order: list[str] | None = None) -> DataFrame:
+    """The same for tokens that are rows already."""
+    return pick_from_texts(spark, tokens, F.array(F.col(token)), count, seed, order)
 
 
 def workers(wanted: int | None = None, cpus: int | None = None) -> int:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,20 +77,55 @@ def number_class(text: Column) -> Column:
 
 def concat_ordered(df: DataFrame, by: list[str], order: str, text: str, sep: str, out: str = "text") -> DataFrame:
     """One text per group, in order; empty parts are left out, an order column is kept
-    while the parts travel."""
+    while the parts travel.  For groups whose text fits in a row; ``ordered_sha`` digests
+    groups of any size."""
     parts = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t"))))
     kept = F.filter(F.transform(parts, lambda p: p["t"]), lambda t: t != "")
     return df.groupBy(*by).agg(F.array_join(kept, sep).alias(out))
 
 
+def _digest(sep: str) -> Callable:
+    """Rows (group, text) sorted by group: one row a group, (group, sha, parts).  A null text is
+    no part; a text at a time is held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, sha, parts, begun = None, None, 0, False
+        row = lambda g: pa.record_batch([g, pa.array([sha.hexdigest()]), pa.array([parts], pa.int64())], names=["g", "sha", "parts"])
+        for batch in batches:
+            names = batch.column(0).to_pylist()
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                if not begun or names[i] != group[0].as_py():
+                    if begun:
+                        yield row(group)
+                    group, sha, parts, begun = batch.column(0).slice(i, 1), hashlib.sha256(), 0, True
+                if text is not None:
+                    sha.update((sep if parts else "").encode() + text.encode("utf-8", "surrogatepass"))
+                    parts += 1
+        if begun:
+            yield row(group)
+
+    return run
+
+
+def ordered_sha(df: DataFrame, by: str, order: str, text: str, sep: str) -> DataFrame:
+    """(by, sha, parts): SHA-256 of each group's texts in order, joined by ``sep``; empty texts
+    are left out.  A group's parts pass one task one by one, none is kept."""
+    rows = df.select(F.col(by).alias("g"), F.when(F.col(text) != "", F.col(text)).alias("t"), F.col(order).alias("o"))
+    rows = rows.repartition("g").sortWithinPartitions("g", "o", "t")
+    kind = df.schema[by].dataType.simpleString()
+    return rows.select("g", "t").mapInArrow(_digest(sep), f"g {kind}, sha string, parts bigint").withColumnRenamed("g", by)
+
+
 def content_sha(files: DataFrame, path: str = "path", sha: str = "sha") -> DataFrame:
     """Digest of a tree: ``path``, line end, ``sha``, line end, in byte order of the path.
 
-    The list of names of one dataset meets in one row by definition of the digest.
+    A digest is one sequence by definition: the sorted rows pass one task, one by one.
     """
-    listed = F.array_sort(F.collect_list(F.struct(F.col(path).alias("p"), F.col(sha).alias("s"))))
-    text = F.array_join(F.transform(listed, lambda x: F.concat(x["p"], F.lit("\n"), x["s"], F.lit("\n"))), "")
-    return files.agg(F.sha2(text, 256).alias("content_sha"), F.count(F.lit(1)).alias("files"))
+    rows = files.select(F.col(path).alias("p"), F.concat(F.col(path), F.lit("\n"), F.col(sha), F.lit("\n")).alias("t"))
+    rows = rows.orderBy("p", "t").select(F.lit(0).alias("g"), "t").coalesce(1)
+    found = rows.mapInArrow(_digest(""), "g int, sha string, parts bigint")
+    empty = hashlib.sha256().hexdigest()
+    return found.agg(F.coalesce(F.max("sha"), F.lit(empty)).alias("content_sha"), F.coalesce(F.max("parts"), F.lit(0)).alias("files"))
 
 
 def tree_size(files: DataFrame) -> DataFrame:

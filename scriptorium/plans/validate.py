@@ -14,7 +14,7 @@ from .recipe import SUPPORTED, Recipe
 
 ISSUE = "severity string, code string, message string, location string"
 # The catalogue of stages with the options of those that run, the
-# providers, the layout keys and layouts by mode.
+# layout keys and layouts by mode.
 STAGE_OPTIONS = {
     "skew": {"angle_deg", "fill"},
     "blur": {"filter", "sigma", "motion_angle_deg", "motion_length_px"},
@@ -31,7 +31,6 @@ STAGE_OPTIONS = {
     "grayscale": {"method"},
 }
 CATALOGUED_STAGES = {"perspective", "scale", "bleed_through", "scratches", "fold_line", "binarize", "preset"}
-PROVIDERS = {"local", "web", "wikisource"}
 LAYOUT_KEYS = {
     "word_crops": {"padding_px", "baseline_jitter_px"},
     "lines": {"padding_px", "max_width_px", "line_spacing"},
@@ -86,11 +85,14 @@ def _fonts(r: Recipe) -> Iterator[Issue]:
 
 
 def _corpus(r: Recipe) -> Iterator[Issue]:
+    from ..sources.readers import PROVIDERS
+
+    known = PROVIDERS.names()  # plug-ins too
     for i, entry in enumerate(r.corpus):
         at = f"corpus[{i}]"
         if entry.type == "local" and entry.path and not Path(entry.path).exists():
             yield _error("local_corpus_missing", entry.path, at)
-        if entry.type not in PROVIDERS:
+        if entry.type not in known:
             yield _error("corpus_provider_not_implemented", entry.type, at)
         if entry.max_chars is not None:
             yield _error("corpus_max_chars_not_implemented", str(entry.max_chars), at)
@@ -118,10 +120,15 @@ def _look(r: Recipe) -> Iterator[Issue]:
 
 
 def _stages(r: Recipe) -> Iterator[Issue]:
+    from ..operators.images import GEOMETRY_STAGES, PIXEL_STAGES
+
+    own = (set(PIXEL_STAGES) | set(GEOMETRY_STAGES)) - set(STAGE_OPTIONS)
     listed = [(f"degradation[{i}]", s) for i, s in enumerate(r.degradation)]
     listed += [(f"degradation_presets.{n}[{i}]", s) for n, ss in r.degradation_presets.items() for i, s in enumerate(ss)]
     for at, stage in listed:
         options = stage.model_extra or {}
+        if stage.kind in own:
+            continue  # a plug-in's options are its own
         if stage.kind not in STAGE_OPTIONS:
             code = "degradation_kind_not_implemented" if stage.kind in CATALOGUED_STAGES else "degradation_kind_unknown"
             yield _error(code, stage.kind, at)

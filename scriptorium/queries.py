@@ -69,6 +69,21 @@ def _length_sql(test: str) -> str:
     return f"array_to_string(list_transform(string_split(text, chr(10) || chr(10)), lambda p: array_to_string(list_filter(regexp_extract_all(p, '[^\\s]+'), lambda w: length(w) {test}), ' ')), chr(10) || chr(10))"
 
 
+def _normal_sql(form: str) -> str:
+    """Decomposition letter by letter, from Python's own tables, for the blocks that texts in
+    Latin scripts use.  Composition is DuckDB's."""
+    import unicodedata
+
+    blocks = ((0xA0, 0x250), (0x1E00, 0x1F00), (0x2000, 0x2190), (0x2460, 0x2500), (0xFB00, 0xFB07), (0xFF01, 0xFF5F))
+    base = form.replace("C", "D")
+    pairs = [(chr(c), unicodedata.normalize(base, chr(c))) for a, b in blocks for c in range(a, b)]
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    known = [(a, b) for a, b in pairs if a != b]
+    table = f"map([{', '.join(quoted(a) for a, _ in known)}], [{', '.join(quoted(b) for _, b in known)}])"
+    apart = f"array_to_string(list_transform(string_split(text, ''), lambda c: case when ascii(c) < 128 then c else coalesce({table}[c], c) end), '')"
+    return f"nfc_normalize({apart})" if form.endswith("C") else apart
+
+
 _WS = r"regexp_replace(regexp_replace(regexp_replace(text, '(?m)[ \t]+$', '', 'g'), '[ \t]+', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g')"
 _TRANSFORMS: dict[str, tuple[list, str | None]] = {
     "txt_normalize_whitespace": (["normalize_whitespace"], f"case when {_WS} = '' then '' else trim({_WS}, chr(10)) || chr(10) end"),
@@ -76,9 +91,9 @@ _TRANSFORMS: dict[str, tuple[list, str | None]] = {
     "txt_uppercase": (["uppercase"], "replace(replace(upper(text), 'ß', 'SS'), 'ẞ', 'SS')"),
     "txt_strip_punctuation": (["strip_punctuation"], r"regexp_replace(text, '\pP', '', 'g')"),
     "txt_nfc": (["nfc"], "nfc_normalize(text)"),
-    "txt_nfd": (["nfd"], None),
-    "txt_nfkc": (["nfkc"], None),
-    "txt_nfkd": (["nfkd"], None),
+    "txt_nfd": (["nfd"], _normal_sql("NFD")),
+    "txt_nfkc": (["nfkc"], _normal_sql("NFKC")),
+    "txt_nfkd": (["nfkd"], _normal_sql("NFKD")),
     "txt_regex_replace": ([{"regex_replace": {"pattern": "([aeiou])n", "replacement": r"<\1>", "flags": "i"}}], r"regexp_replace(text, '(?i)([aeiou])n', '<\1>', 'g')"),
     "txt_keep_only": ([{"keep_only": {"chars": "abcdefghijklmnopqrstuvwxyz "}}], "regexp_replace(text, '[^a-z ]', '', 'g')"),
     "txt_min_token_length": ([{"min_token_length": {"min": 4}}], _length_sql(">= 4")),
@@ -108,6 +123,19 @@ for _name, (_steps, _sql) in _TRANSFORMS.items():
         SQL[_name] = f"select doc_id, {_sql} as text from documents"
 
 
+# Each word run and each s is a row with the number of matches before it, which is its draw.
+SQL["txt_chain_drawn"] = rf"""with runs as (
+  select doc_id, generate_subscripts(r, 1) as i, unnest(r) as run from (select doc_id, regexp_extract_all(text, '[\pL\pN_]+|[^\pL\pN_]+') as r from documents)
+), met as (select *, lower(run) in ('agus', 'and', 'et') as hit from runs),
+told as (select *, sum(hit::int) over (partition by doc_id order by i) - 1 as k from met),
+signs as (select doc_id, string_agg(case when hit and {_draw("42", "0", "doc_id", "k")} <= 0.5 then '⁊' else run end, '' order by i) as text from told group by 1),
+parts as (select doc_id, generate_subscripts(p, 1) as i, unnest(p) as part from (select d.doc_id, string_split(coalesce(s.text, ''), 's') as p from documents d left join signs s using (doc_id))),
+beside as (select *, lead(part) over (partition by doc_id order by i) as after from parts),
+long as (select *, coalesce(regexp_matches(after, '^[^\s\x{{A0}}h]'), false) as hit from beside),
+drawn as (select *, sum(hit::int) over (partition by doc_id order by i) - 1 as k from long)
+select doc_id, string_agg(part || case when after is null then '' when hit and {_draw("42", "1", "doc_id", "k")} <= 0.25 then 'ſ' else 's' end, '' order by i) as text from drawn group by 1"""
+
+
 @query(r"select doc_id, regexp_replace(text || ' hf_' || md5(text) || '.', '\b(?:hf_[A-Za-z0-9]{20,}|api_org_[A-Za-z0-9]{20,})\b', '[redacted-hf-token]', 'g') as text from documents")
 def txt_redact(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", X.redact_token(F.concat("text", F.lit(" hf_"), F.md5("text"), F.lit("."))).alias("text"))
@@ -219,6 +247,15 @@ def par_json_path(spark, sf_dir):
     return read(spark, sf_dir, "events").select("event_id", parsers.json_lines(F.col("props"), "$.k").alias("text"))
 
 
+@query("select event_id, json_extract_string(props, '$.k') || chr(10) as one, 'z' || chr(10) || json_extract_string(props, '$.k') || chr(10) as members, json_extract_string(props, '$.k') || chr(10) || event_id || chr(10) || 'true' || chr(10) as items from events")
+def par_json_wild(spark, sf_dir):
+    """A list of one, the members of an object, values of several kinds."""
+    k = F.get_json_object("props", "$.k")
+    body = F.concat(F.lit('{"one":['), F.col("props"), F.lit('],"by":{"b":'), F.col("props"), F.lit(',"a":{"k":"z"}},"items":['), F.to_json(F.array(k)), F.lit(",["), F.col("event_id").cast("string"), F.lit(',true]]}'))
+    e = read(spark, sf_dir, "events").select("event_id", body.alias("body"))
+    return e.select("event_id", *[parsers.json_lines(F.col("body"), path).alias(n) for n, path in (("one", "$.one[*].k"), ("members", "$.by.*.k"), ("items", "$.items[*][*]"))])
+
+
 @query("select event_id, json_extract_string(props, '$.k') || chr(10) as text from events")
 def par_json_strict(spark, sf_dir):
     return read(spark, sf_dir, "events").select("event_id", parsers.parse(F.col("props"), "json", "$.k").alias("text"))
@@ -375,12 +412,20 @@ def agg_corpus_totals(spark, sf_dir):
     return T.corpus_totals(read(spark, sf_dir, "documents").withColumn("error", F.when(F.col("doc_id") % 13 == 0, "failed")))
 
 
-@query("select source, sha256(string_agg(text, chr(10) || chr(10) order by doc_id) filter (text <> '')) as sha from documents group by 1")
+_CONCAT = "select source, sha256(string_agg(text, chr(10) || chr(10) order by doc_id, text) filter (text <> '')) as sha from documents group by 1"
+
+
+@query(_CONCAT)
 def agg_corpus_concat(spark, sf_dir):
     whole = T.concat_ordered(read(spark, sf_dir, "documents"), ["source"], "doc_id", "text", "\n\n")
     return whole.select("source", F.sha2("text", 256).alias("sha"))
 
 
+@query(_CONCAT)
+def agg_corpus_sha(spark, sf_dir):
+    return T.ordered_sha(read(spark, sf_dir, "documents"), "source", "doc_id", "text", "\n\n").select("source", "sha")
+
+
 @query("select sha256(string_agg(p || chr(10) || s || chr(10), '' order by p)) as content_sha, count(*) as files from (select printf('data/%07d', doc_id) as p, sha256(text) as s from documents)")
 def agg_content_sha(spark, sf_dir):
     path = F.concat(F.lit("data/"), S.pad(F.col("doc_id"), F.lit(7)))
@@ -550,7 +595,11 @@ def win_first_wins(spark, sf_dir):
     return T.first_by_key(read(spark, sf_dir, "events").select("user_id", "event_id", "event_type"), ["user_id"], "event_id")
 
 
-@query()
+@query(
+    """with w as (select doc_id, list_transform(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> ''), lambda x: {'n': 1, 'width': length(x), 's': x}) as l from documents),
+  r as (select doc_id, case when len(l) > 0 then list_reduce(l, lambda a, b: case when a.width + 1 + b.width <= 60 then {'n': a.n, 'width': a.width + 1 + b.width, 's': a.s || ' ' || b.s} else {'n': a.n + 1, 'width': b.width, 's': a.s || chr(10) || b.s} end) end as f from w)
+  select doc_id, cast(coalesce(f.n, 0) as bigint) as lines, sha256(coalesce(f.s, '')) as sha from r"""
+)
 def win_wrap(spark, sf_dir):
     wrapped = B.wrap(F.col("text"), F.lit(60))
     return read(spark, sf_dir, "documents").select("doc_id", F.size(wrapped).cast("long").alias("lines"), F.sha2(F.array_join(wrapped, "\n"), 256).alias("sha"))
@@ -675,8 +724,7 @@ def sca_blend(spark, sf_dir):
   select i as index, token from (select i, cast(floor({_draw("7", "i", "'pick'")} * n) as bigint) as place from range(0, 5000) r(i), n) join t using (place)"""
 )
 def smp_pick_tokens(spark, sf_dir):
-    tokens = K.tokenize(read(spark, sf_dir, "documents").select("doc_id", "text"), "word_crops")
-    return P.pick_tokens(spark, tokens, 5000, 7, order=["doc_id", "pos"])
+    return P.pick_from_texts(spark, read(spark, sf_dir, "documents"), K.tokens_of(F.col("text"), "word_crops"), 5000, 7, key=["doc_id"])
 
 
 @query(
@@ -690,11 +738,16 @@ def smp_draws(spark, sf_dir):
     )
 
 
-@query()
+@query(
+    f"""select doc_id as index, case when 3.0 * {_draw("42", "doc_id", "'font'")} <= 2 then 'a.ttf' else 'b.ttf' end as font_path, 8.0 + floor({_draw("42", "doc_id", "'font_size_pt'")} * 9) as font_size_pt,
+  case when 4.0 * {_draw("42", "doc_id", "'dpi'")} <= 1 then 150 else 300 end as dpi, '10,' || cast(floor({_draw("42", "doc_id", "'ink.g'")} * 31) as integer) || ',0' as ink, '255,255,255' as background,
+  cast(2 + floor({_draw("42", "doc_id", "'padding_px'")} * 5) as integer) as padding_px, round(1.0 + {_draw("42", "doc_id", "'line_spacing'")} * 0.5, 9) as line_spacing, cast(1.0 as double) as paragraph_spacing from documents"""
+)
 def smp_style(spark, sf_dir):
-    recipe = {"fonts": [{"path": "a.ttf", "weight": 2}, {"path": "b.ttf"}], "rendering": {"font_size_pt": {"min": 8, "max": 16}, "dpi": {"choices": [{"value": 150}, {"value": 300, "weight": 3}]}}, "layout": {"padding_px": {"min": 2, "max": 6}}}
-    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("index"))
-    return P.draw_style(docs, recipe, 42, page=True).select("index", F.to_json("style").alias("style"))
+    look = {"font_size_pt": {"min": 8, "max": 16}, "dpi": {"choices": [{"value": 150}, {"value": 300, "weight": 3}]}, "ink_color": {"r": 10, "g": {"min": 0, "max": 30}, "b": 0}}
+    recipe = {"fonts": [{"path": "a.ttf", "weight": 2}, {"path": "b.ttf"}], "rendering": look, "layout": {"padding_px": {"min": 2, "max": 6}, "line_spacing": {"min": 1.0, "max": 1.5}}}
+    styled = P.draw_style(read(spark, sf_dir, "documents").select(F.col("doc_id").alias("index")), recipe, 42, page=True).select("index", "style.*")
+    return styled.select("index", "font_path", "font_size_pt", "dpi", F.array_join("ink", ",").alias("ink"), F.array_join("background", ",").alias("background"), "padding_px", F.round("line_spacing", 9).alias("line_spacing"), "paragraph_spacing")
 
 
 @query()

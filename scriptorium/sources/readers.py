@@ -285,11 +285,20 @@ PROVIDERS.register("web", _web)
 PROVIDERS.register("wikisource", _wikisource)
 
 
-def read_corpus(spark: SparkSession, entries: list[dict], registry: ProviderRegistry = PROVIDERS) -> DataFrame:
-    """(entry, ord, text) of all entries, each with its line filter; UNION ALL in order."""
+def read_corpus(spark: SparkSession, entries: list[dict], registry: ProviderRegistry = PROVIDERS, held: dict[int, str] | None = None) -> DataFrame:
+    """(entry, ord, text) of all entries, each with its line filter; UNION ALL in order.
+
+    ``held``: texts of entries that were fetched before.  A remote page that can't be read
+    fails the query with its error.
+    """
     parts = []
     for i, entry in enumerate(entries):
-        df = registry.get(entry["type"])(spark, entry)
+        if held and i in held:
+            df = spark.createDataFrame([(0, held[i])], "ord int, text string")
+        else:
+            df = registry.get(entry["type"])(spark, entry)
+        if "error" in df.columns:
+            df = df.withColumn("text", F.when(F.col("error").isNotNull(), F.raise_error(F.col("error"))).otherwise(F.col("text")))
         rules = entry.get("filter") or {}
         text = filter_lines(F.col("text"), rules.get("drop_lines_matching"), rules.get("keep_lines_matching"), rules.get("min_line_chars") or 0)
         parts.append(df.select(F.lit(i).alias("entry"), "ord", text.alias("text")))

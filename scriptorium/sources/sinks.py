@@ -1,25 +1,32 @@
 """Sinks: dataset folders, staging, cards, the audit log, the hub behind a transport.
 
-Images are written by the tasks that hold them; the small JSON files of the layout are
-single files by definition and are streamed row by row in key order.
+Samples are rendered once: the tasks that hold them write the images, hash them and make
+their manifest and label lines, which go to a written table.  The layout's JSON files are
+single files by definition; they are merged row by row from that table and the files of
+an earlier run, both in key order, so that the driver holds one row of each.
+
+A destination is a folder that every machine sees; a task that doesn't see it says so.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import heapq
 import json
 import os
 import re
 import shutil
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 from typing import Protocol
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import image_name, page_name
+from ..scratch import Scratch
 
 
 class DestinationNotEmptyError(ValueError):
@@ -30,6 +37,14 @@ class SnapshotError(ValueError):
     pass
 
 
+class StagingError(ValueError):
+    pass
+
+
+#: What a page's file name begins with.
+PAGE_PREFIX = "page_"
+
+
 # ------------------------------------------------------------ snapshots
 
 
@@ -84,18 +99,15 @@ def named(rows: DataFrame, count: int, detection: bool) -> DataFrame:
     return rows.withColumn("file_name", (page_name if detection else image_name)(F.col("index"), width))
 
 
-def _write_images(folder: str) -> Callable:
-    def write(rows) -> None:
-        for r in rows:
-            target = f"{folder}/images/{r['file_name']}"
-            if r["status"] == "rendered":
-                with open(f"{target}.tmp", "wb") as f:
-                    f.write(r["image"])
-                os.replace(f"{target}.tmp", target)
-            elif os.path.exists(target):
-                os.remove(target)
-
-    return write
+def _put_image(folder: str, r: dict) -> None:
+    """The image of a rendered row; what an earlier run left of a skipped one goes."""
+    target = f"{folder}/images/{r['file_name']}"
+    if r["status"] == "rendered":
+        with open(f"{target}.{os.getpid()}.tmp", "wb") as f:
+            f.write(r["image"])
+        os.replace(f.name, target)
+    elif os.path.exists(target):
+        os.remove(target)
 
 
 def _boxes(b) -> list[int]:
@@ -145,52 +157,126 @@ def manifest_record(r: dict, stages: list[dict], transforms: list, detection: bo
     return out
 
 
-def _read_jsonl(path: Path) -> list[dict]:
-    rows = []
-    for line in path.read_text("utf-8").split("\n") if path.exists() else []:
-        try:
-            row = json.loads(line)
-        except ValueError:
-            continue
-        rows += [row] if isinstance(row, dict) else []
-    return rows
-
-
-def write_dataset(rendered: DataFrame, folder: str | Path, count: int, *, detection: bool = False, stages: list[dict] | None = None, transforms: list | None = None) -> dict:
+def _read_jsonl(path: Path) -> Iterator[dict]:
+    """The objects among a file's lines, one at a time."""
+    if not path.exists():
+        return
+    with open(path, encoding="utf-8") as f:
+        for line in f:
+            try:
+                row = json.loads(line)
+            except ValueError:
+                continue
+            if isinstance(row, dict):
+                yield row
+
+
+def _read_labels(path: Path) -> Iterator[tuple[str, object]]:
+    """(name, label) of a labels file, a line each as ``write_dataset`` writes them; a file
+    in another layout is read whole."""
+    if not path.exists():
+        return
+    with open(path, encoding="utf-8") as f:
+        if f.readline() != "{\n":
+            f.seek(0)
+            yield from sorted(json.load(f).items())
+            return
+        for line in f:
+            if line.strip() not in ("}", ""):
+                yield from json.loads("{" + line.strip().rstrip(",") + "}").items()
+
+
+def _merged(old: Iterable[tuple], new: Iterable[tuple]) -> Iterator[tuple]:
+    """(key, value) of two sequences in key order; a new value replaces an old one."""
+    last, held = None, None
+    for key, rank, value in heapq.merge(((k, 0, v) for k, v in old), ((k, 1, v) for k, v in new), key=lambda x: x[:2]):
+        if held is not None and key != last:
+            yield last, held
+        last, held = key, value
+    if held is not None:
+        yield last, held
+
+
+_LINES = "index bigint, file_name string, record string, label string"
+
+
+def _store(folder: str, detection: bool, stages: list[dict], transforms: list) -> Callable:
+    """Writes a batch's images and makes its manifest and label lines."""
+    dump = lambda x: json.dumps(x, ensure_ascii=False)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if not os.path.isdir(f"{folder}/images"):
+            raise FileNotFoundError(f"{folder}/images isn't there: the destination must be a folder that every machine sees")
+        for pdf in batches:
+            out = []
+            for r in pdf.to_dict("records"):
+                r = {k: _plain(v) for k, v in r.items()}
+                _put_image(folder, r)
+                label = (detection_label(r) if detection else r["text"]) if r["status"] == "rendered" else None
+                out.append((r["index"], r["file_name"], dump(manifest_record(r, stages, transforms, detection)), None if label is None else dump(label)))
+            yield pd.DataFrame(out, columns=["index", "file_name", "record", "label"])
+
+    return run
+
+
+def _plain(value):
+    """A cell as Python values: arrays as lists, missing numbers as None."""
+    if hasattr(value, "tolist") and not isinstance(value, bytes):
+        value = value.tolist()
+    if isinstance(value, dict):
+        return {k: _plain(v) for k, v in value.items()}
+    if isinstance(value, list):
+        return [_plain(v) for v in value]
+    return None if value is pd.NA or (isinstance(value, float) and value != value) else value
+
+
+class Stats:
+    """Counts over manifest records, as they pass."""
+
+    def __init__(self, planned: int):
+        self.counts = {"count_planned": planned, "count_written": 0, "count_skipped": 0, "skip_reasons": {}, "fonts_used": {}, "lines": 0, "words": 0, "paragraphs": 0}
+
+    def add(self, r: dict) -> None:
+        c, rendered = self.counts, r["status"] == "rendered"
+        name = r["font"]["name"] if rendered else r.get("reason", "unknown")
+        kind = c["fonts_used" if rendered else "skip_reasons"]
+        kind[name] = kind.get(name, 0) + 1
+        c["count_written" if rendered else "count_skipped"] += 1
+        for x in ("lines", "words", "paragraphs"):
+            c[x] += r.get(f"n_{x}", 0)
+
+
+def write_dataset(rendered: DataFrame, folder: str | Path, count: int, *, detection: bool = False, stages: list[dict] | None = None, transforms: list | None = None, labels: bool = True) -> dict:
     """images/, labels.json, manifest.jsonl and stats.json; returns the stats.
 
     Rows of indexes that are there already replace them, so that running twice is once.
+    A row's own ``file_name`` is kept; without ``labels`` no labels are written (previews).
     """
-    path = Path(folder)
-    rows = named(rendered, count, detection)
-    rows.select("file_name", "status", "image").foreachPartition(_write_images(str(path)))
-    light = rows if detection else rows.drop("image")
-    old = {r["index"]: r for r in _read_jsonl(path / "manifest.jsonl")}
-    labels = json.loads((path / "labels.json").read_text("utf-8")) if (path / "labels.json").exists() else {}
-    for row in light.toLocalIterator():
-        r = row.asDict(recursive=True)
-        old[r["index"]] = manifest_record(r, stages or [], transforms or [], detection)
-        labels.pop(r["file_name"], None)
-        if r["status"] == "rendered":
-            labels[r["file_name"]] = detection_label(r) if detection else r["text"]
-    stats = {"count_planned": count, "count_written": 0, "count_skipped": 0, "skip_reasons": {}, "fonts_used": {}, "lines": 0, "words": 0, "paragraphs": 0}
-    with open(path / "manifest.jsonl", "w", encoding="utf-8") as f:
-        for index in sorted(old):
-            r = old[index]
-            f.write(json.dumps(r, ensure_ascii=False) + "\n")
-            if r["status"] == "rendered":
-                stats["count_written"] += 1
-                name = r["font"]["name"]
-                stats["fonts_used"][name] = stats["fonts_used"].get(name, 0) + 1
-                for c in ("lines", "words", "paragraphs"):
-                    stats[c] += r.get(f"n_{c}", 0)
-            else:
-                stats["count_skipped"] += 1
-                reason = r.get("reason", "unknown")
-                stats["skip_reasons"][reason] = stats["skip_reasons"].get(reason, 0) + 1
-    (path / "labels.json").write_text(json.dumps(dict(sorted(labels.items())), ensure_ascii=False, indent=1), "utf-8")
-    (path / "stats.json").write_text(json.dumps(stats, ensure_ascii=False, indent=1, sort_keys=True), "utf-8")
-    return stats
+    path, dump = Path(folder), lambda x: json.dumps(x, ensure_ascii=False)
+    rows = rendered if "file_name" in rendered.columns else named(rendered, count, detection)
+    stats = Stats(count)
+    with Scratch.dropped():
+        made = Scratch(rendered.sparkSession, "dataset").write(rows.mapInPandas(_store(str(path), detection, stages or [], transforms or []), _LINES), "lines")
+        new = ((r["index"], json.loads(r["record"])) for r in made.select("index", "record").orderBy("index").toLocalIterator())
+        old = ((r["index"], r) for r in _read_jsonl(path / "manifest.jsonl"))
+        with open(path / "manifest.jsonl.tmp", "w", encoding="utf-8") as f:
+            for _, r in _merged(old, new):
+                f.write(dump(r) + "\n")
+                stats.add(r)
+        if labels:
+            new = ((r["file_name"], (r["label"],)) for r in made.select("file_name", "label").orderBy("file_name").toLocalIterator())
+            old = ((name, (dump(label),)) for name, label in _read_labels(path / "labels.json"))
+            with open(path / "labels.json.tmp", "w", encoding="utf-8") as f:
+                start = "{\n"
+                for name, (label,) in _merged(old, new):
+                    if label is not None:
+                        f.write(f"{start}{dump(name)}: {label}")
+                        start = ",\n"
+                f.write("\n}\n" if start != "{\n" else "{}\n")
+            os.replace(path / "labels.json.tmp", path / "labels.json")
+        os.replace(path / "manifest.jsonl.tmp", path / "manifest.jsonl")
+    (path / "stats.json").write_text(json.dumps(stats.counts, ensure_ascii=False, indent=1, sort_keys=True), "utf-8")
+    return stats.counts
 
 
 # ------------------------------------------------------------ audit log
@@ -247,6 +333,39 @@ class MemoryTransport:
         self.repos[repo]["tags"][name] = commit
 
 
+class HubTransport:
+    """The hub through its own client library, if that is installed."""
+
+    def __init__(self, token: str | None = None):
+        try:
+            from huggingface_hub import HfApi
+        except ImportError as e:
+            raise TransportError("the hub's client library isn't installed") from e
+        self.api = HfApi(token=token)
+
+    def create_repo(self, repo, private):
+        self.api.create_repo(repo, repo_type="dataset", private=private, exist_ok=True)
+
+    def card(self, repo):
+        from huggingface_hub.utils import EntryNotFoundError, RepositoryNotFoundError
+
+        try:
+            return front_matter(Path(self.api.hf_hub_download(repo, "README.md", repo_type="dataset")).read_text("utf-8"))
+        except (EntryNotFoundError, RepositoryNotFoundError):
+            return None
+
+    def upload(self, repo, folder, message):
+        # What the folder no longer holds goes from the hub as well.
+        return self.api.upload_folder(repo_id=repo, folder_path=folder, repo_type="dataset", commit_message=message, delete_patterns="*").oid
+
+    def tag(self, repo, name, commit):
+        self.api.create_tag(repo, tag=name, revision=commit, repo_type="dataset", exist_ok=True)
+
+
+class TransportError(RuntimeError):
+    pass
+
+
 _FRONT = re.compile(r"\A---\n(.*?)\n---\n?", re.S)
 _SHA_LINE = re.compile(r"^content_sha: .*\n", re.M)
 
@@ -276,15 +395,22 @@ def embed_sha(folder: str | Path) -> str:
     return sha
 
 
-def dataset_card(name: str, samples: int, license_: str | None, description: str, histograms: dict[str, list[tuple]], top: int = 10) -> str:
+#: What a dataset of each mode is for.
+TASKS = {"recognition": "image-to-text", "detection": "object-detection"}
+
+
+def dataset_card(name: str, samples: int, license_: str | None, description: str, histograms: dict[str, list[tuple]], top: int = 10, mode: str = "recognition", facts: dict | None = None) -> str:
+    """Front matter, description, facts of the run and the most frequent values."""
     bounds = ((1_000, "n<1K"), (10_000, "1K<n<10K"), (100_000, "10K<n<100K"), (1_000_000, "100K<n<1M"), (10_000_000, "1M<n<10M"))
     size = next((n for b, n in bounds if samples < b), "n>10M") if samples > 0 else None
-    head = {"pretty_name": name, "license": license_, "task_categories": ["image-to-text"], "size_categories": [size] if size else []}
+    head = {"pretty_name": name, "license": license_, "task_categories": [TASKS[mode]], "size_categories": [size] if size else [], "shape": f"{mode}/v1"}
     import yaml
 
     out = ["---", yaml.safe_dump(head, sort_keys=True).strip(), "---", "", f"# {name}", "", description.strip(), "", f"Samples: {samples}", ""]
+    out += [f"- {k}: {v}" for k, v in (facts or {}).items() if v not in (None, "", [])] + [""]
     for title, counts in histograms.items():
-        out += [f"## {title}", ""] + [f"- {v}: {n}" for v, n in counts[:top]] + ([f"- (+{len(counts) - top} more)"] if len(counts) > top else []) + [""]
+        if counts:
+            out += [f"## {title}", ""] + [f"- {v}: {n}" for v, n in counts[:top]] + ([f"- (+{len(counts) - top} more)"] if len(counts) > top else []) + [""]
     return "\n".join(out)
 
 
@@ -297,31 +423,102 @@ def preflight(folder: str | Path) -> list[tuple[str, str]]:
     return [(k, "missing" if k not in front else "empty") for k in REQUIRED if front.get(k) in (None, "", [], {})]
 
 
-def stage_recognition(local: str | Path, staging: str | Path, license_: str | None = None, overwrite: bool = False) -> dict:
-    local, staging = Path(local), Path(staging)
-    if staging.exists():
+def _open_staging(local: Path, staging: Path, overwrite: bool) -> None:
+    if not (local / "images").is_dir() or not (local / "labels.json").is_file():
+        raise StagingError(f"{local} holds no dataset")
+    if staging.exists() and any(staging.iterdir()):
         if not overwrite:
             raise DestinationNotEmptyError(f"{staging} is there already")
         shutil.rmtree(staging)
-    (staging / "data").mkdir(parents=True)
-    labels = json.loads((local / "labels.json").read_text("utf-8"))
-    records = {Path(r["image"]).name: r for r in _read_jsonl(local / "manifest.jsonl") if r.get("image")}
-    missing, rows, fonts = [], 0, {}
+    (staging / "data").mkdir(parents=True, exist_ok=True)
+
+
+def _by_count(counts: dict) -> list[tuple]:
+    return sorted(((k, n) for k, n in counts.items() if k), key=lambda x: (-x[1], x[0]))
+
+
+def _card(local: Path, staging: Path, mode: str, samples: int, license_: str | None, histograms: dict[str, dict]) -> str | None:
+    """The snapshot's copy and the card made from it; None without a snapshot."""
+    import yaml
+
+    note = local / "recipe.snapshot.yaml"
+    if not note.is_file():
+        return None
+    shutil.copyfile(note, staging / note.name)
+    snapshot = yaml.safe_load(note.read_text("utf-8")) or {}
+    recipe = snapshot.get("recipe") or {}
+    publish = recipe.get("publish") or {}
+    about = Path(publish["description_file"]).read_text("utf-8") if publish.get("description_file") and Path(publish["description_file"]).is_file() else recipe.get("description") or ""
+    facts = {
+        "recipe": recipe.get("name"), "recipe_sha": file_sha(note), "tool_version": snapshot.get("tool_version"), "seed": snapshot.get("seed"),
+        "corpus": ", ".join(str(c.get("path") or c.get("url") or c.get("titles")) for c in recipe.get("corpus") or []), "transforms": ", ".join(t if isinstance(t, str) else next(iter(t)) for t in recipe.get("text_transforms") or []),
+    }
+    card = dataset_card(recipe.get("name") or local.name, samples, license_ or publish.get("license"), about, {k: _by_count(v) for k, v in histograms.items()}, mode=mode, facts=facts)
+    (staging / "README.md").write_text(card, "utf-8")
+    return embed_sha(staging)
+
+
+def stage_recognition(local: str | Path, staging: str | Path, license_: str | None = None, overwrite: bool = False) -> dict:
+    """data/, metadata.jsonl, the snapshot and the card."""
+    local, staging = Path(local), Path(staging)
+    _open_staging(local, staging, overwrite)
+    records = ((Path(r["image"]).name, r) for r in _read_jsonl(local / "manifest.jsonl") if r.get("image"))
+    missing, rows, fonts, stages = [], 0, {}, {}
+    pairs = heapq.merge(((n, 1, t) for n, t in _read_labels(local / "labels.json")), ((n, 0, r) for n, r in records), key=lambda x: x[:2])
+    name_of, record = None, {}
     with open(staging / "metadata.jsonl", "w", encoding="utf-8") as f:
-        for name, text in sorted(labels.items()):
+        for name, kind, value in pairs:
+            if kind == 0:
+                name_of, record = name, value
+                continue
             if not (local / "images" / name).is_file():
                 missing.append(name)
                 continue
             shutil.copyfile(local / "images" / name, staging / "data" / name)
-            r = records.get(name, {})
-            row = {"file_name": f"data/{name}", "text": text, "font": r.get("font", {}).get("name"), "font_size_pt": r.get("font", {}).get("size_pt"), "degradations": [d.get("kind") or d.get("name") for d in r.get("degradations_applied", [])]}
+            r = record if name_of == name else {}
+            row = {"file_name": f"data/{name}", "text": value, "font": r.get("font", {}).get("name"), "font_size_pt": r.get("font", {}).get("size_pt"), "degradations": [d.get("kind") or d.get("name") for d in r.get("degradations_applied", [])]}
             f.write(json.dumps({k: v for k, v in row.items() if v not in (None, [])}, ensure_ascii=False) + "\n")
             rows += 1
             fonts[row["font"]] = fonts.get(row["font"], 0) + 1
-    shutil.copyfile(local / "recipe.snapshot.yaml", staging / "recipe.snapshot.yaml")
-    order = sorted(((k, n) for k, n in fonts.items() if k), key=lambda x: (-x[1], x[0]))
-    (staging / "README.md").write_text(dataset_card(local.name, rows, license_, "", {"Fonts": order}), "utf-8")
-    return {"rows": rows, "missing": missing, "sha": embed_sha(staging)}
+            for d in row["degradations"]:
+                stages[d] = stages.get(d, 0) + 1
+    sha = _card(local, staging, "recognition", rows, license_, {"Fonts": fonts, "Degradations": stages})
+    return {"rows": rows, "missing": missing, "sha": sha}
+
+
+def stage_detection(local: str | Path, staging: str | Path, license_: str | None = None, overwrite: bool = False) -> dict:
+    """data/ with the labelled pages, labels.json as it is, the snapshot and the card.
+
+    Labels of anything but pages are an error: they would not fit the layout.
+    """
+    local, staging = Path(local), Path(staging)
+    _open_staging(local, staging, overwrite)
+    missing, rows = [], 0
+    for name, _ in _read_labels(local / "labels.json"):
+        if not name.startswith(PAGE_PREFIX):
+            raise StagingError(f"labels.json: {name!r} doesn't begin with {PAGE_PREFIX!r}")
+        if not (local / "images" / name).is_file():
+            missing.append(name)
+            continue
+        shutil.copyfile(local / "images" / name, staging / "data" / name)
+        rows += 1
+    shutil.copyfile(local / "labels.json", staging / "labels.json")
+    fonts: dict[str, int] = {}
+    for r in _read_jsonl(local / "manifest.jsonl"):
+        if r.get("status") == "rendered":
+            name = r.get("font", {}).get("name")
+            fonts[name] = fonts.get(name, 0) + 1
+    sha = _card(local, staging, "detection", rows, license_, {"Fonts": fonts})
+    return {"rows": rows, "missing": missing, "sha": sha}
+
+
+STAGING = {"recognition": stage_recognition, "detection": stage_detection}
+
+
+def commit_message(given: str | None, staging: str | Path) -> str:
+    """The given message unless it is blank, else one that names the snapshot's digest."""
+    note = Path(staging) / "recipe.snapshot.yaml"
+    return (given or "").strip() or f"scriptorium render{f' @{file_sha(note)}' if note.is_file() else ''}"
 
 
 def publish(transport: Transport, repo: str, staging: str | Path, *, private: bool = True, message: str | None = None, tag: str | None = None) -> dict:
@@ -334,7 +531,7 @@ def publish(transport: Transport, repo: str, staging: str | Path, *, private: bo
     if card and card.get("content_sha") == sha:
         return {"state": "same", "sha": sha, "commit": None}
     transport.create_repo(repo, private)
-    commit = transport.upload(repo, str(staging), message or f"Update dataset ({sha[:12]})")
+    commit = transport.upload(repo, str(staging), commit_message(message, staging))
     if tag:
         transport.tag(repo, tag, commit)
     return {"state": "changed" if card else "new", "sha": sha, "commit": commit}
