@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import shutil
 import sys
-import tempfile
 import threading
 import time
 from pathlib import Path
@@ -19,6 +17,7 @@ from ..operators.images import list_textures
 from ..operators.render import render_rows
 from ..operators.sampling import draw_style, pick_from_texts
 from ..operators.tokenize import tokens_of
+from ..scratch import Scratch
 from ..sources import sinks
 from ..sources.cache import CacheStore, key_of
 from ..sources.readers import PROVIDERS, SourceError, read_corpus
@@ -121,9 +120,7 @@ def with_textures(spark: SparkSession, stages: list[dict]) -> list[dict]:
             for path in list_textures(stage.get("directory")):
                 held = f"{sinks.file_sha(path)[:32]}{path.suffix.lower()}"
                 if held not in _sent.setdefault(spark.sparkContext.applicationId, set()):
-                    with tempfile.TemporaryDirectory() as folder:  # the driver's own; Spark copies from it
-                        shutil.copyfile(path, Path(folder) / held)
-                        spark.sparkContext.addFile(str(Path(folder) / held))
+                    spark.sparkContext.addFile(Scratch(spark, "textures").put(held, path.read_bytes()))
                     _sent[spark.sparkContext.applicationId].add(held)
                 names.append(held)
             stage = {**stage, "textures": names}
