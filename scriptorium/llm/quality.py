@@ -2,8 +2,10 @@
 
 A document's character-class histogram and its histogram of common words are
 compared with those of all documents in its language by the Jensen-Shannon
-distance.  Everything is DataFrame expressions: two scans, no shuffle of texts; the
-only shuffle is one pre-aggregated row per task and language for the references.
+distance.  Everything is DataFrame expressions: each text is measured once and its few
+numbers are written; the references are sums over them, and the verdicts are read off
+the same table.  No text is shuffled; the only shuffle is one pre-aggregated row per task
+and language for the references.
 
 Defined results
 ---------------
@@ -13,7 +15,8 @@ Defined results
 * documents under ``min_chars`` word characters (classes) or ``min_words`` words
   (common words) aren't judged by that histogram: its distance is null.
 * repeated rows are judged alike; ties don't arise; an empty table gives no rows.
-* extra columns are kept as they are; names are never reused for helpers.
+* extra columns are kept as they are, whatever their names: what is added is one struct
+  column, the last, whose name takes leading underscores where the input has it.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE
+from .common import SPACE, Scratch, column_of
 
 #: Frequent function words by language (fixed lists; all of one length).
 COMMON_WORDS = {
@@ -105,17 +108,17 @@ def _by_lang(lang: Column, values: dict[str, Column], otherwise: Column | None =
     return out if otherwise is None else out.otherwise(otherwise)
 
 
-def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, dict[str, list[float]]]:
-    """Histograms of every listed language and of all documents (key ``*``).
+def references(measured: DataFrame, lang: str = "lang") -> dict[str, dict[str, list[float]]]:
+    """Histograms of every listed language and of all documents (key ``*``), from ``measure``.
 
     One aggregate over all documents; its result has at most one row for each listed
     language and one for the rest, whatever the input's size.
     """
+    m = measured.columns[-1]
     group = F.when(F.col(lang).isin(list(COMMON_WORDS)), F.col(lang)).otherwise(F.lit("*"))
-    features = _with_features(docs.select(F.col(text), F.col(lang)), text, lang)
-    sums = [F.sum(F.get(f"{_P}classes", F.lit(i))).alias(f"c{i}") for i in range(len(CLASS_NAMES))]
-    sums += [F.sum(F.get(f"{_P}hist", F.lit(i))).alias(f"w{i}") for i in range(K + 1)]
-    found = {r["g"]: r for r in features.groupBy(group.alias("g")).agg(*sums).collect()}
+    sums = [F.sum(F.get(f"{m}.classes", F.lit(i))).alias(f"c{i}") for i in range(len(CLASS_NAMES))]
+    sums += [F.sum(F.get(f"{m}.hist", F.lit(i))).alias(f"w{i}") for i in range(K + 1)]
+    found = {r["g"]: r for r in measured.groupBy(group.alias("g")).agg(*sums).collect()}
 
     def shares(rows: list, name: str, n: int) -> list[float]:
         counts = [sum(r[f"{name}{i}"] or 0 for r in rows) for i in range(n)]
@@ -157,13 +160,15 @@ def _repeated_words(n: int) -> tuple[Column, ...]:
     return hashes, ordered, F.array_sort(F.array_distinct(F.flatten(pairs))), F.aggregate(gaps, F.lit(0), lambda s, x: s + x)
 
 
-def judge(docs: DataFrame, refs: dict, rules: QualityRules = QualityRules(), text: str = "text", lang: str = "lang") -> DataFrame:
-    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, class_distance, word_distance and kept as columns ``q_*``."""
-    df = _with_features(docs, text, lang)
+def measure(docs: DataFrame, rules: QualityRules = QualityRules(), text: str = "text", lang: str = "lang") -> DataFrame:
+    """``docs`` with one struct column of a document's numbers: n_words, word_chars,
+    n_symbols, n_dup_lines, n_repeat_words, n_chars, classes, hist."""
     n = rules.window
     if n < 2 or n & (n - 1):
         raise ValueError("window must be a power of two")
+    named = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    body, tongue = (f"c{docs.columns.index(c)}" for c in (text, lang))
+    df = _with_features(named, body, tongue)
     hashes, ordered, positions, covered = _repeated_words(n)
     df = df.withColumn(f"{_P}hash", F.transform(F.col(f"{_P}words"), lambda w: F.xxhash64(w)))
     df = df.withColumn(f"{_P}windows", F.when(F.col(f"{_P}n_words") > n, hashes))
@@ -172,40 +177,48 @@ def judge(docs: DataFrame, refs: dict, rules: QualityRules = QualityRules(), tex
     df = df.withColumn(f"{_P}at", F.when(F.col(f"{_P}sorted").isNotNull(), positions))
     repeat = F.when(F.col(f"{_P}at").isNotNull(), covered).otherwise(F.lit(0)).cast("long")
     df = df.withColumn(
-        f"{_P}lines", F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: x.rlike(f"[^{SPACE}]"))
+        f"{_P}lines", F.filter(F.split(F.coalesce(F.col(body), F.lit("")), "\n"), lambda x: x.rlike(f"[^{SPACE}]"))
     )
     held = F.col(f"{_P}classes")
     symbol, space = (F.get(held, F.lit(CLASS_NAMES.index(c))) for c in ("symbol", "space"))
-    chars, words = F.get(f"{_P}sizes", F.lit(0)), F.col(f"{_P}n_words")
+    chars = F.get(f"{_P}sizes", F.lit(0))
+    numbers = F.struct(
+        F.col(f"{_P}n_words").alias("n_words"),
+        (chars - space).alias("word_chars"),
+        symbol.alias("n_symbols"),
+        (F.size(f"{_P}lines") - F.size(F.array_distinct(f"{_P}lines"))).cast("long").alias("n_dup_lines"),
+        repeat.alias("n_repeat_words"),
+        chars.alias("n_chars"),
+        held.alias("classes"),
+        F.col(f"{_P}hist").alias("hist"),
+    )
+    return df.select(*named.columns, numbers.alias("m")).toDF(*docs.columns, column_of(docs, "measures"))
+
+
+def judge(measured: DataFrame, refs: dict, rules: QualityRules = QualityRules(), lang: str = "lang") -> DataFrame:
+    """The rows of ``measure`` with one struct column more: base_failed, class_distance,
+    word_distance, kept."""
+    m = lambda c: F.col(f"{measured.columns[-1]}.{c}")
     refer = lambda kind: _by_lang(
         F.col(lang), {g: F.array(*map(F.lit, refs[g][kind])) for g in COMMON_WORDS if g in refs} | {"*": F.array(*map(F.lit, refs["*"][kind]))}, F.array(*map(F.lit, refs["*"][kind]))
     )
-    df = df.withColumns(
-        {
-            "q_n_words": words,
-            "q_word_chars": chars - space,
-            "q_n_symbols": symbol,
-            "q_n_dup_lines": (F.size(f"{_P}lines") - F.size(F.array_distinct(f"{_P}lines"))).cast("long"),
-            "q_n_repeat_words": repeat,
-        }
-    )
-    df = df.withColumns(
-        {
-            "q_class_distance": F.when(F.col("q_word_chars") >= rules.min_chars, _distance(held, chars, refer("classes"))),
-            "q_word_distance": F.when((words >= rules.min_words) & F.col(f"{_P}hist").isNotNull(), _distance(F.col(f"{_P}hist"), words, refer("words"))),
-            "q_base_failed": (words < rules.least_words) | (100 * F.col("q_n_repeat_words") > rules.repeat_percent * words),
-        }
-    )
-    verdict = (F.coalesce(F.col("q_class_distance"), F.lit(0.0)) <= rules.class_limit) & (F.coalesce(F.col("q_word_distance"), F.lit(0.0)) <= rules.word_limit)
-    df = df.withColumn("q_kept", ~F.col("q_base_failed") & verdict)
-    return df.drop(*[c for c in df.columns if c.startswith(_P)])
+    by_class = F.when(m("word_chars") >= rules.min_chars, _distance(m("classes"), m("n_chars"), refer("classes")))
+    by_word = F.when((m("n_words") >= rules.min_words) & m("hist").isNotNull(), _distance(m("hist"), m("n_words"), refer("words")))
+    failed = (m("n_words") < rules.least_words) | (100 * m("n_repeat_words") > rules.repeat_percent * m("n_words"))
+    within = (F.coalesce(by_class, F.lit(0.0)) <= rules.class_limit) & (F.coalesce(by_word, F.lit(0.0)) <= rules.word_limit)
+    verdict = F.struct(failed.alias("base_failed"), by_class.alias("class_distance"), by_word.alias("word_distance"), (~failed & within).alias("kept"))
+    return measured.withColumn(column_of(measured, "quality"), verdict)
+
+
+def assess(docs: DataFrame, rules: QualityRules = QualityRules(), keep: list[str] | None = None, lang: str = "lang") -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all by default; ``lang`` among them), measured,
+    written and judged: the last two columns are the structs of ``measure`` and ``judge``."""
+    measured = measure(docs, rules, lang=lang)
+    written = Scratch(docs.sparkSession, "quality").write(measured.select(*[f"`{c}`" for c in keep or docs.columns], measured.columns[-1]), "measures")
+    return judge(written, references(written, lang), rules, lang)
 
 
 def quality_filter(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """The documents that the rules keep, with the input's columns."""
-    judged = judge(docs, references(docs), rules)
-    # The optimiser would move the filter below the projections and write each step's
-    # expression out in the next one, which grows without bound; it moves nothing across
-    # a projection that isn't deterministic.  The number's value changes nothing.
-    held = judged.withColumn("q_barrier", F.rand(0))
-    return held.where(F.when(F.col("q_barrier") >= 0, F.col("q_kept"))).select(*docs.columns)
+    judged = assess(docs, rules)
+    return judged.where(F.col(f"{judged.columns[-1]}.kept")).select(*[f"`{c}`" for c in docs.columns])

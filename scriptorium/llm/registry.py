@@ -60,9 +60,9 @@ def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    judged = quality.judge(docs, quality.references(docs))
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-    return judged.select("doc_id", *[judged[f"q_{n}"].alias(n) for n in names])
+    judged = quality.assess(docs, keep=["doc_id", "lang"])
+    numbers = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("doc_id", *[f"measures.{n}" for n in numbers], "quality.base_failed", "quality.kept")
 
 
 QUERIES = {

@@ -18,9 +18,9 @@ def test_no_common_word_is_rejected(spark):
             k += 1
     junk = [(1000 + i, " ".join(word() for _ in range(50)), lang) for i, lang in enumerate(quality.COMMON_WORDS)]
     docs = spark.createDataFrame(rows + junk, "doc_id long, text string, lang string")
-    judged = {r["doc_id"]: r for r in quality.judge(docs, quality.references(docs)).collect()}
-    assert all(judged[i]["q_kept"] for i, _, _ in rows)
+    judged = {r["doc_id"]: r for r in quality.assess(docs).collect()}
+    assert all(judged[i]["quality"]["kept"] for i, _, _ in rows)
     for i, _, _ in junk:
-        r = judged[i]
-        assert not r["q_base_failed"] and r["q_class_distance"] <= quality.QualityRules.class_limit
-        assert r["q_word_distance"] > quality.QualityRules.word_limit and not r["q_kept"]
+        r = judged[i]["quality"]
+        assert not r["base_failed"] and r["class_distance"] <= quality.QualityRules.class_limit
+        assert r["word_distance"] > quality.QualityRules.word_limit and not r["kept"]
