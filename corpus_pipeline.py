@@ -40,14 +40,19 @@ STAGES = [
     ("best-fit packing", pack_sequences),
 ]
 
-#: Packing by an online best fit can't be expressed in SQL; tests hold the pipeline
-#: against a brute-force version instead.
+#: Packing by an online best fit can't be expressed in SQL; tests/llm/test_pipeline.py holds
+#: the rows of ``run`` against a brute-force version of all four stages instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    scratch = Scratch(spark, "pipeline")
-    for name, stage in STAGES:
-        docs = scratch.write(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    """The stages, each on all that the one before kept.  What a stage wrote on its way goes
+    as soon as its result is written, a result as soon as the next one is."""
+    docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark, "pipeline")
+    for k, (name, stage) in enumerate(STAGES):
+        with Scratch.dropped():
+            done = scratch.write(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if k:
+            scratch.drop_df(docs)
+        docs = done
     return docs
