@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import scalars as S
@@ -242,6 +242,27 @@ def par_tei_text(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", parsers.parse(F.col("html"), "tei-text").alias("text"))
 
 
+def _marked(text: Column) -> Column:
+    return F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("é"), F.lit("&eacute;"))
+
+
+@query(
+    r"""select doc_id, trim(regexp_replace(array_to_string(list_transform(string_split(text || chr(10) || 'end', chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), chr(10)), '\n{3,}', chr(10) || chr(10), 'g'), chr(10)) || chr(10) as text
+    from documents"""
+)
+def par_html_nodes(spark, sf_dir):
+    """Documents as pages: references decoded, scripts left out, a line for each text node."""
+    page = F.concat(F.lit("<html><head><script>var a = '<p>';</script><style>p {}</style></head><p>"), _marked(F.col("text")), F.lit("</p><!-- no --><p>end</p></html>"))
+    return read(spark, sf_dir, "documents").select("doc_id", parsers.parse(page, "html-text").alias("text"))
+
+
+@query(r"select doc_id, regexp_replace(text, '^\s+|\s+$', '', 'g') || chr(10) as text from documents")
+def par_tei_nodes(spark, sf_dir):
+    """Documents as TEI: the text without the header and without what follows it."""
+    page = F.concat(F.lit("<TEI><teiHeader><title>h</title><text>no</text></teiHeader><text><body>"), _marked(F.col("text")), F.lit("</body></text><text>second</text></TEI>"))
+    return read(spark, sf_dir, "documents").select("doc_id", parsers.parse(page, "tei-text").alias("text"))
+
+
 @query("select event_id, json_extract_string(props, '$.k') || chr(10) as text from events")
 def par_json_path(spark, sf_dir):
     return read(spark, sf_dir, "events").select("event_id", parsers.json_lines(F.col("props"), "$.k").alias("text"))
@@ -605,6 +626,24 @@ def win_wrap(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", F.size(wrapped).cast("long").alias("lines"), F.sha2(F.array_join(wrapped, "\n"), 256).alias("sha"))
 
 
+@query("select l_orderkey, l_linenumber, 4 + cast(l_quantity as bigint) * l_linenumber as top from lineitem")
+def win_line_tops(spark, sf_dir):
+    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", B.line_tops(F.lit(4), F.col("l_quantity").cast("long"), F.col("l_linenumber")).cast("long").alias("top"))
+
+
+@query(r"select doc_id, len(list_filter(string_split(text, chr(10) || chr(10)), lambda x: regexp_matches(x, '[\n\r]') or not regexp_matches(x, '[^\s]'))) > 0 as bad from documents")
+def ren_bad_lines(spark, sf_dir):
+    return read(spark, sf_dir, "documents").select("doc_id", B.bad_lines(F.split("text", "\n\n")).alias("bad"))
+
+
+@query("select l_orderkey, l_linenumber, 'w' as text, l_partkey + 3 as x0, l_suppkey - 5 as y0, l_partkey + 12 as x1, l_suppkey as y1 from lineitem")
+def ren_shift(spark, sf_dir):
+    x, y = F.col("l_partkey").cast("long"), F.col("l_suppkey").cast("long")
+    box = F.struct(F.lit("w").alias("text"), F.struct(x.alias("x0"), y.alias("y0"), (x + 9).alias("x1"), (y + 5).alias("y1")).alias("bbox"))
+    moved = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.explode(B.shift(F.array(box), F.lit(3), F.lit(-5))).alias("b"))
+    return moved.select("l_orderkey", "l_linenumber", "b.text", "b.bbox.*")
+
+
 @query("select 0 as entry, doc_id as ord, text from documents union all select 1, conv_id * 1000 + turn, text from conversations")
 def set_union_all(spark, sf_dir):
     d = read(spark, sf_dir, "documents").select(F.lit(0).alias("entry"), F.col("doc_id").alias("ord"), "text")

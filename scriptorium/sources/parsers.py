@@ -35,14 +35,14 @@ class _Nodes(HTMLParser):
         self._cut()
         if tag in self.skip:
             self.depth += 1
-        elif tag == self.only and not self.done:
+        elif tag == self.only and not self.done and not self.depth:
             self.inside += 1
 
     def handle_endtag(self, tag):
         self._cut()
         if tag in self.skip:
             self.depth = max(0, self.depth - 1)
-        elif tag == self.only and self.inside:
+        elif tag == self.only and self.inside and not self.depth:
             self.inside -= 1
             self.done = not self.inside
 
@@ -79,11 +79,11 @@ def html_text(body: str) -> str:
 
 
 def tei_text(body: str) -> str:
-    """The first ``<text>`` without any header, else the whole document."""
+    """The first ``<text>`` outside any header, without headers; else the whole document."""
     nodes = _Nodes(frozenset(["teiheader"]), "text")
     nodes.feed(body)
     nodes.close()
-    return "\n".join(nodes.chosen or nodes.texts).strip() + "\n"
+    return "\n".join(nodes.chosen if nodes.inside or nodes.done else nodes.texts).strip() + "\n"
 
 
 def split_path(path: str) -> list[str]:

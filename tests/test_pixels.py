@@ -156,3 +156,14 @@ def test_outlines_cover_what_they_enclose():
     cover, left, top = I.rasterize(square, 0.01)
     assert top == -10
     assert cover.shape == (10, 10) and (cover == 1).all() and left == 0 and V.union([(1, 2, 3, 4), (0, 3, 2, 9)]) == (0, 2, 3, 9)
+
+
+def test_drawn_numbers():
+    rng = RNG()
+    assert I._number(3, rng) == 3 and I._number({"choices": [{"value": 5, "weight": 0}, {"value": 7}]}, rng) == 7
+    whole = {I._number({"min": 1, "max": 3}, rng) for _ in range(200)}
+    assert whole == {1, 2, 3} and all(isinstance(x, int) for x in whole)
+    broken = [I._number([0.5, 1.5], rng) for _ in range(200)]
+    assert 0.5 <= min(broken) < 0.6 and 1.4 < max(broken) <= 1.5
+    nested = {I._number({"choices": [{"value": [1, 2]}, {"value": 9}]}, rng) for _ in range(200)}
+    assert nested == {1, 2, 9} and I._number({"choices": [{"value": 4, "weight": -1}]}, rng) == 4
