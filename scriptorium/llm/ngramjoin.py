@@ -285,9 +285,8 @@ class NgramJoin:
     def _centred(self, lists: DataFrame) -> DataFrame:
         """The rows with each shingle's centre: the class with the fewest shingles of its
         own, which among the copies of a text is the text that the others were made from."""
-        best = lists.groupBy("token").agg(F.min(F.struct("alone", "id")).alias("best"), F.count(F.lit(1)).alias("classes"))
-        best = best.where("classes > 1").select("token", F.col("best.id").alias("centre"))
-        return lists.join(best, "token").select("token", "id", "pos", "centre")
+        least = F.min(F.struct("alone", "id")).over(W.partitionBy("token"))
+        return lists.withColumn("centre", least["id"]).select("token", "id", "pos", "centre")
 
     def _check(self, pairs: DataFrame, order: Order, many_texts: bool) -> DataFrame:
         """Links (u, v) among the pairs (a, b).  A centre's partners are dealt in chunks.
@@ -339,28 +338,42 @@ class NgramJoin:
         # What is one component by now needs no more pairs; a component is told by its least class's digest.
         comp = components(links, self.scratch).select(F.col("node").alias("id"), F.struct("component.hi", "component.lo").alias("comp"))
         now = lists.select("token", "id", "pos").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", F.struct("id.hi", "id.lo")))
-        mixed = now.groupBy("token").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where(F.col("least") != F.col("most")).select("token")
-        left = put(now.join(mixed, "token").select("token", "id", "pos", "comp"), "open")
+        left = put(self._open(now), "open")
         if left.isEmpty():
             return links
         done = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
         pairs = put(self._across(left).distinct().join(done, ["a", "b"], "left_anti"), "pairs")
         return links.unionByName(self._check(pairs, order, False))
 
+    def _open(self, placed: DataFrame) -> DataFrame:
+        """The rows (token, id, pos, comp) whose shingle stands in several components and that
+        can still be half of a pair: ``indexed`` as the smaller set, or as the larger one with a
+        smaller one's size from ``low`` to ``high``.
+
+        Of two similar sets the smaller one, y, has their first shared shingle among its
+        first y - need(y, y) + 1; the larger one, x, at a place that leaves need(x, y).
+        """
+        percent, n, pos, by_token = self.percent, F.col("id.n"), F.col("pos"), W.partitionBy("token")
+        indexed = n - F.ceil(2 * percent * n / (100 + percent)) + 1 > pos
+        room = F.floor((100 + percent) * (n - pos) / percent) - n
+        told = placed.withColumn("indexed", indexed)
+        size = F.when(F.col("indexed"), n)
+        told = told.withColumns({"least": F.min("comp").over(by_token), "most": F.max("comp").over(by_token), "low": F.min(size).over(by_token), "high": F.max(size).over(by_token)})
+        told = told.where(F.col("least") != F.col("most"))
+        met = F.col("low").isNotNull()  # some set has the shingle where it is indexed
+        told = told.withColumns({"low": F.when(met, F.greatest("low", F.ceil(percent * n / 100))), "high": F.when(met, F.least(F.col("high"), n, room))})
+        probing = F.coalesce(F.col("low") <= F.col("high"), F.lit(False))
+        return told.withColumn("probing", probing).where("indexed or probing").select("token", "id", "pos", "comp", "indexed", "probing", "low", "high")
+
     def _across(self, placed: DataFrame) -> DataFrame:
         """All pairs of classes of different components that share a prefix shingle and may
         be similar by their sizes and its places; ``a`` is the larger one."""
-        percent, n, pos = self.percent, F.col("id.n"), F.col("pos")
         band = lambda size: F.floor(F.log(size.cast("double")) * 10).cast("int")
-        # Of two similar sets the smaller one, y, has their first shared shingle among its
-        # first y - need(y, y) + 1; the larger one, x, at a place that leaves need(x, y).
-        index = placed.where(n - F.ceil(2 * percent * n / (100 + percent)) + 1 > pos)
-        index = index.select("token", band(n).alias("band"), F.col("id").alias("b"), F.col("pos").alias("pos_b"), F.col("comp").alias("comp_b"))
-        low = F.ceil(percent * n / 100)
-        high = F.least(n, F.floor((100 + percent) * (n - pos) / percent) - n)
-        probe = placed.where(low <= high).select("token", F.explode(F.sequence(band(low), band(high))).alias("band"), F.col("id").alias("a"), F.col("pos").alias("pos_a"), F.col("comp").alias("comp_a"))
+        index = placed.where("indexed").select("token", band(F.col("id.n")).alias("band"), F.col("id").alias("b"), F.col("pos").alias("pos_b"), F.col("comp").alias("comp_b"))
+        bands = F.sequence(band(F.col("low")), band(F.col("high")))
+        probe = placed.where("probing").select("token", F.explode(bands).alias("band"), F.col("id").alias("a"), F.col("pos").alias("pos_a"), F.col("comp").alias("comp_a"))
         larger = F.struct("b.n", "b.hi", "b.lo") < F.struct("a.n", "a.hi", "a.lo")
-        joined = probe.join(index, ["token", "band"]).where(larger & (F.col("comp_a") != F.col("comp_b")) & _fits(percent) & _places(percent))
+        joined = probe.join(index, ["token", "band"]).where(larger & (F.col("comp_a") != F.col("comp_b")) & _fits(self.percent) & _places(self.percent))
         return joined.select("a", "b")
 
 
@@ -386,13 +399,13 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     by_id = rows.groupBy("doc_id").agg(F.min("gone").alias("all"), F.max("gone").alias("any"))
     gone = by_id.where("any").select(F.col("doc_id").alias("gone_id"), "all")
     partly = join.scratch.write(gone.where(~F.col("all")).select("gone_id"), "partly")
-    out = docs.join(gone.select("gone_id"), docs["doc_id"] == F.col("gone_id"), "left_anti")
+    out = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
     if partly.isEmpty():
         return out
     # Ids of which some texts stay: those rows are told apart by their words.
-    mixed = docs.join(partly, docs["doc_id"] == F.col("gone_id"), "left_semi")
+    mixed = docs.join(partly, docs["doc_id"] == partly["gone_id"], "left_semi")
     fields = ", ".join(f"`c{i}` {f.dataType.simpleString()}" for i, f in enumerate(mixed.schema))
-    named = mixed.select(F.col("text").alias("_t"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(mixed.columns)]).mapInArrow(_with_class, f"{fields}, class_hi bigint, class_lo bigint")
+    named = mixed.select(F.col("text").alias("_t"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(mixed.columns)]).mapInArrow(_with_class, f"{fields}, class_hi bigint, class_lo bigint")
     stay = rows.where(~F.col("gone")).select(F.col("doc_id").alias("stay"), "hi", "lo")
     at = f"c{docs.columns.index('doc_id')}"
     kept = named.join(stay, (F.col(at) == F.col("stay")) & (F.col("class_hi") == F.col("hi")) & (F.col("class_lo") == F.col("lo")), "left_semi")

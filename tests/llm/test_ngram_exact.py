@@ -65,7 +65,7 @@ def test_one_id_with_two_texts(spark):
     text = lambda: " ".join(f"w{rng.randrange(10**9)}" for _ in range(40))
     a, b, c = text(), text(), text()
     rows = [(1, a, "x"), (2, a + " end", "x"), (2, b, "y"), (2, b, "y"), (3, c, "x"), (4, c, "x"), (5, "", "x"), (5, a, "z"), (None, a, "x"), (6, None, "x")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, class_hi string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, gone_id string")
     kept = ngramjoin.keep_one(docs)
     assert kept.columns == docs.columns
     want = [(1, a, "x"), (2, b, "y"), (2, b, "y"), (3, c, "x"), (5, "", "x"), (None, a, "x"), (6, None, "x")]
