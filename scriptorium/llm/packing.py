@@ -28,25 +28,67 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import PieceCache
+from .tokens import PieceCache, slices
 
 _PIECE = "doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
+#: Pieces that are encoded as one text.
+JOINED = 128
+
+
 def json_encoder(path: str):
-    """Encodes distinct pieces with the ``tokenizers`` library, one thread."""
+    """Encodes distinct pieces with the ``tokenizers`` library, one thread.
+
+    The library's cost a call is that of a dozen pieces, so that pieces are joined: one that
+    begins with a single space and has no white space at its ends may follow another,
+    since no match of the pattern crosses there.  The ids are parted again by the bytes
+    that each stands for; a joined text that can't be parted is encoded piece by piece.
+    """
     import os
+    from array import array
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
+    # A special token's string may hold a space: texts with one are encoded whole.
+    special = [t.content for t in tok.get_added_tokens_decoder().values()]
+    size = np.zeros(max(tok.get_vocab().values(), default=0) + 1, np.int64)
+    for name, i in tok.get_vocab(with_added_tokens=False).items():
+        size[i] = len(name)  # byte-level names have a character for each byte
+    joinable = all(" " not in t for t in special)
+
+    def alone(pieces: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in tok.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def parted(pieces: list[str], ids: list[int]) -> list[bytes] | None:
+        ends = np.cumsum([len(p.encode("utf-8", "surrogatepass")) for p in pieces])
+        at = np.cumsum(size[ids])
+        cuts = np.searchsorted(at, ends)
+        if len(at) != cuts[-1] + 1 or (at[cuts] != ends).any():
+            return None
+        raw, out, start = array("I", ids).tobytes(), [], 0
+        for cut in ((cuts + 1) * 4).tolist():
+            out.append(raw[start:cut])
+            start = cut
+        return out
 
     def encode(pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in tok.encode_batch_fast(pieces, add_special_tokens=False)]
+        fits = [joinable and len(p) > 1 and p[0] == " " and not p[1].isspace() and not p[-1].isspace() for p in pieces]
+        found = dict.fromkeys(pieces)
+        several = [p for p, ok in zip(pieces, fits) if ok]
+        groups = [several[k : k + JOINED] for k in range(0, len(several), JOINED)]
+        rest = [p for p, ok in zip(pieces, fits) if not ok]
+        for group, e in zip(groups, tok.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)):
+            parts = parted(group, e.ids)
+            if parts is None:
+                rest += group
+            else:
+                found.update(zip(group, parts))
+        found.update(zip(rest, alone(rest)))
+        return [found[p] for p in pieces]
 
-    # A special token's string may hold a space: texts with one are encoded whole.
-    special = [t.content for t in tok.get_added_tokens_decoder().values()]
     return encode, special
 
 
@@ -66,13 +108,12 @@ def piece_lengths(n: int, capacity: int) -> list[int]:
     return [first] * (first > 0) + [capacity] * (n // capacity)
 
 
-def _encode(path: str, capacity: int, rows: int = 256):
+def _encode(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, special, whole = _encoder(path)
         end = np.zeros(1, "<u4").tobytes()
         for big in batches:
-            for at in range(0, big.num_rows, rows):
-                batch = big.slice(at, rows)
+            for batch in slices(big, 1):
                 texts = [t or "" for t in batch.column(1).to_pylist()]
                 ids = cache.encode_texts(["" if any(s in t for s in special) else t for t in texts])
                 index, piece, start, length, crc = [], [], [], [], []
@@ -125,12 +166,15 @@ class BestFit:
 
 
 def _pack(capacity: int, open_bins: int):
+    """Rows sorted by group; one group's bins are held at a time."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins: dict[int, BestFit] = {}
+        group, fit = None, None
         for batch in batches:
             seq, off = [], []
             for g, n in zip(batch.column(5).to_pylist(), batch.column(3).to_pylist()):
-                fit = bins.get(g) or bins.setdefault(g, BestFit(capacity, open_bins))
+                if g != group:
+                    group, fit = g, BestFit(capacity, open_bins)
                 b, o = fit.place(n)
                 seq.append((g << 40) | b), off.append(o)
             yield pa.record_batch([*batch.columns[:5], pa.array(seq, pa.int64()), pa.array(off, pa.int64())], names=[*batch.schema.names[:5], "sequence_id", "offset"])
@@ -142,13 +186,14 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, open_bins: int =
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     The number of groups follows the number of documents, so that each group fills many
-    thousands of sequences and leaves few of them open at its end.
+    thousands of sequences and leaves few of them open at its end; a task packs many groups,
+    one after the other.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     pieces = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).mapInArrow(_encode(tokenizer, capacity), _PIECE.format(kind=kind))
     groups = max(1, math.ceil(docs.count() / group_pieces))
     order = F.xxhash64("doc_id", "piece", "length", "ids_crc32")
-    dealt = pieces.withColumn("g", F.pmod(order, F.lit(groups))).repartition(groups, "g")
+    dealt = pieces.withColumn("g", F.pmod(order, F.lit(groups))).repartition("g")
     dealt = dealt.sortWithinPartitions("g", F.xxhash64(F.lit(1), order), "doc_id", "piece")
     out = _PIECE.format(kind=kind) + ", sequence_id bigint, offset bigint"
     return dealt.mapInArrow(_pack(capacity, open_bins), out)

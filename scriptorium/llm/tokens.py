@@ -2,13 +2,17 @@
 
 Texts are cut before each single space that a word follows; no match of the
 tokenizers' pattern crosses such a cut, so that the pieces can be encoded apart and
-each distinct one only once.  A worker keeps the ids of a bounded number of pieces.
+each distinct one only once.  A worker keeps the ids of a bounded number of pieces, those met last.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Runs in which white space stands at both sides of a space: not cut.
 _TIGHT = re.compile(r"\s \s")
@@ -17,42 +21,76 @@ _TIGHT = re.compile(r"\s \s")
 class PieceCache:
     """Ids (as bytes, little-endian uint32) of distinct pieces.
 
-    ``encode`` maps a list of pieces to a list of byte strings.  At most ``limit``
-    pieces are kept; beyond that, pieces are encoded batch by batch without being kept.
+    ``encode`` maps a list of pieces to a list of byte strings.  At most ``limit`` pieces
+    are kept (and those of one call), in two generations: when the younger one is half of
+    that, the older one goes and the younger takes its place.  Pieces met again move to the
+    younger one, so that frequent ones stay, whatever the corpus's order.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 1_000_000):
-        self.encode, self.limit, self.known = encode, limit, {}
+        self.encode, self.half = encode, max(1, limit // 2)
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def encode_texts(self, texts: list[str]) -> list[bytes]:
-        known = self.known
-        cut = [self._cut(t) for t in texts]
-        found = [list(map(known.get, pieces)) for pieces in cut]
-        missing: dict[str, bytes] = {}
-        for pieces, ids in zip(cut, found):
-            if None in ids:
-                missing.update((p, b"") for p, x in zip(pieces, ids) if x is None)
-        if missing:
-            order = list(missing)
-            missing.update(zip(order, self.encode(order)))
-            room = max(0, self.limit - len(known))
-            known.update((p, missing[p]) for p in order[:room])
-            for pieces, ids in zip(cut, found):
-                if None in ids:
-                    ids[:] = [missing[p] if x is None else x for p, x in zip(pieces, ids)]
-        return [b"".join(ids) for ids in found]
-
-    @staticmethod
-    def _cut(text: str) -> list[str]:
-        if not text:
-            return []
-        if _TIGHT.search(text):
-            return _cut_apart(text)
-        head, *rest = text.split(" ")
-        pieces = [" " + w for w in rest]
-        if head:
-            pieces.insert(0, head)
-        return pieces
+        """Each text's ids.  The words of all texts are numbered in one go by Arrow, looked up
+        once each, and laid out by number."""
+        out = [b""] * len(texts)
+        tight = [bool(t) and _TIGHT.search(t) is not None for t in texts]
+        at = [i for i, (t, x) in enumerate(zip(texts, tight)) if t and not x]
+        if at:
+            split = pc.split_pattern(pa.array([texts[i] for i in at], pa.large_string()), " ")
+            starts = split.offsets.to_numpy()
+            coded = split.values.dictionary_encode()
+            codes = coded.indices.to_numpy().astype(np.int64)
+            # A word has a space ahead of it unless it begins its text.
+            words = [" " + w for w in coded.dictionary.to_pylist()]
+            n, heads = len(words), codes[starts[:-1]]
+            first, codes[starts[:-1]] = np.unique(heads, return_inverse=True)
+            codes[starts[:-1]] += n
+            words += [words[k][1:] for k in first.tolist()]
+            ids = self._ids(words)
+            size = np.array([len(x) // 4 for x in ids], np.int64)
+            flat, begin = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+            each = size[codes]
+            ends = np.cumsum(each)
+            laid = flat[np.repeat(begin[codes] - ends + each, each) + np.arange(ends[-1])].tobytes()
+            cuts = [0, *(4 * ends[starts[1:] - 1]).tolist()]
+            for i, a, b in zip(at, cuts, cuts[1:]):
+                out[i] = laid[a:b]
+        for i in (i for i, x in enumerate(tight) if x):
+            out[i] = b"".join(self._ids(_cut_apart(texts[i])))
+        return out
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces; the empty piece has none."""
+        found = list(map(self.known.get, pieces))
+        if None not in found:
+            return found
+        missing = dict.fromkeys(p for p, x in zip(pieces, found) if x is None)
+        order = list(missing)
+        if self.before:
+            older = list(map(self.before.get, order))
+            missing.update(zip(order, older))
+            order = [p for p, x in zip(order, older) if x is None]
+        if "" in missing:
+            missing[""] = b""
+            order = [p for p in order if p]
+        missing.update(zip(order, self.encode(order)))
+        if len(self.known) + len(missing) > self.half:
+            self.before, self.known = self.known, {}
+        self.known.update(missing)
+        return [missing[p] if x is None else x for p, x in zip(pieces, found)]
+
+
+def slices(batch: pa.RecordBatch, column: int, limit: int = 24 << 20, rows: int = 8192) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of at most ``limit`` bytes of text (or one row) and ``rows`` rows."""
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    at = 0
+    while at < batch.num_rows:
+        held = int(np.searchsorted(np.cumsum(size[at : at + rows]), limit, "right"))
+        yield batch.slice(at, max(1, held))
+        at += max(1, held)
 
 
 #: A space between a non-space and a non-space: the only place where a text with
