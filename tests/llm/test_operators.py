@@ -75,7 +75,7 @@ def test_similar_filters_lose_nothing():
         assert ngramjoin.similar(order.sort(a), order.sort(b), 80) == want
 
 
-def test_bpe_round_trip(docs, nothing):
+def test_bpe_round_trip(spark, docs, nothing):
     tiktoken = pytest.importorskip("tiktoken")
     path = public.path("byte_bpe_multi_50k.tiktoken")
     ranks = bpe.load_ranks(path)
@@ -89,10 +89,18 @@ def test_bpe_round_trip(docs, nothing):
     back = bpe.decode(bpe.encode(docs, path, public.PATTERN), path, public.PATTERN)
     assert all(bytes(r["bpe_bytes"]).decode() == (r["text"] or "") for r in back.collect())
     assert bpe.round_trip(nothing, path, public.PATTERN).count() == 0
+    clash = docs.select("*", F.lit(1).alias("_t"), F.lit(2).alias("bpe_ids"), F.lit(3).alias("x"), F.lit(4).alias("bpe_bytes"))
+    there = bpe.encode(clash, path, public.PATTERN)
+    assert there.columns == [*clash.columns, "_bpe_ids"]
+    back = bpe.decode(there, path, public.PATTERN, "_bpe_ids")
+    assert back.columns == [*there.columns, "_bpe_bytes"] and all(bytes(r["_bpe_bytes"]).decode() == (r["text"] or "") for r in back.collect())
     rng = random.Random(1)
     odd = ["".join(rng.choice("a b\n  \té’'s12<|>\x1c　日") for _ in range(rng.randint(0, 50))) for _ in range(3000)] + ["x" * 3000]
     cache, _ = bpe.worker(path, public.PATTERN)
     assert [np.frombuffer(x, "<u4").tolist() for x in cache.encode_texts(odd)] == [own.encode_ordinary(t) for t in odd]
+    words = [w.encode() for w in (" the", "a", " éñcde", "\n\n", " 12345", "日本", "zzzzzzzzzzzz", " abcabcabc")] + [bytes([200, 201])]
+    folded = spark.createDataFrame([(i, bytearray(w)) for i, w in enumerate(words)], "i int, w binary").select("i", bpe.fold_words(F.col("w"), ranks).alias("ids"))
+    assert [r["ids"] for r in folded.orderBy("i").collect()] == [own._encode_single_piece(w) for w in words] == [bpe.merge(w, ranks) for w in words] == [bpe.merge_long(w, ranks) for w in words]
     small = PieceCache(cache.encode, limit=3)
     assert small.encode_texts(odd[:200]) == cache.encode_texts(odd[:200])
 
