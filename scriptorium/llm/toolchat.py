@@ -146,7 +146,9 @@ def places(calls: DataFrame, scratch: Scratch, fold_calls: int = 256) -> DataFra
     deps = edges.join(small, "conv_id", "left_semi").groupBy("conv_id", "turn", "k").agg(F.collect_list(F.struct(F.col("d_turn").alias("turn"), F.col("d_k").alias("k"))).alias("deps"))
     none = F.array().cast(deps.schema["deps"].dataType)
     nodes = held.join(small, "conv_id", "left_semi").join(deps, ["conv_id", "turn", "k"], "left").select("conv_id", F.struct("turn", "k", F.coalesce("deps", none).alias("deps")).alias("c"))
-    out = fold_places(nodes.groupBy("conv_id").agg(F.collect_list("c").alias("calls")))
+    # A fold costs much for its few bytes: tasks aren't merged by size here.
+    tasks = int(calls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = fold_places(nodes.repartition(tasks, "conv_id").groupBy("conv_id").agg(F.collect_list("c").alias("calls")))
     if not long.isEmpty():
         out = out.unionByName(round_places(held.join(long, "conv_id", "left_semi"), edges.join(long, "conv_id", "left_semi"), scratch))
     return out
