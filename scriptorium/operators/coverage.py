@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import Scratch
+
 FONT_SCHEMA = "path string, family string, style string, num_glyphs int, units_per_em int, codepoints array<int>, advances array<int>, error string"
 
 
@@ -119,6 +121,8 @@ def uncovered(tokens: DataFrame, covered: DataFrame, token: str = "token") -> Da
     against each font first; on the driver that is at most one entry a code point and a
     font of the recipe.  A token then costs one look at its characters a font.
     """
+    # Read twice: once for the characters, once for the tokens.
+    tokens = Scratch(tokens.sparkSession, "uncovered").write(tokens.select(token))
     letters = {r[0] for r in tokens.select(F.explode(F.array_distinct(F.split(F.col(token), ""))).alias("c")).distinct().collect()} - {""}
     lists = []
     for r in covered.collect():
