@@ -83,7 +83,7 @@ class PieceCache:
         return [missing[p] if x is None else x for p, x in zip(pieces, found)]
 
 
-def slices(batch: pa.RecordBatch, column: int, limit: int = 24 << 20, rows: int = 8192) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: int, limit: int = 12 << 20, rows: int = 4096) -> Iterator[pa.RecordBatch]:
     """A batch in parts of at most ``limit`` bytes of text (or one row) and ``rows`` rows."""
     size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     at = 0
