@@ -15,10 +15,13 @@ def claim_words(words: DataFrame, lines: DataFrame, page: str = "page") -> tuple
     the word's, ends included; returns (claimed, unassigned).
 
     words: page, word_id, y0, y1, ...; lines: page, line_pos, y0, y1.  An equi-join on the
-    page keeps the band test within one page.
+    page keeps the band test within one page.  Both sides are dealt by page: lines are often
+    exploded from a small table, and its size, which Spark goes by, doesn't count the rows
+    that come out, so that it would broadcast them through the driver.
     """
+    words = words.hint("merge")
     w = words.withColumn("mid", F.floor((F.col("y0") + F.col("y1")) / 2))
-    band = lines.select(page, F.col("line_pos"), F.col("y0").alias("top"), F.col("y1").alias("bottom"))
+    band = lines.select(page, F.col("line_pos"), F.col("y0").alias("top"), F.col("y1").alias("bottom")).hint("merge")
     hits = w.join(band, (w[page] == band[page]) & (F.col("top") <= F.col("mid")) & (F.col("mid") <= F.col("bottom"))).drop(band[page])
     first = hits.groupBy(page, "word_id").agg(F.min("line_pos").alias("line_pos"))
     claimed = words.join(first, [page, "word_id"])
@@ -27,9 +30,10 @@ def claim_words(words: DataFrame, lines: DataFrame, page: str = "page") -> tuple
 
 def glyph_words(glyphs: DataFrame, spans: DataFrame, sample: str = "sample") -> DataFrame:
     """Box of each word from its glyphs' clusters, start included and end not; words
-    without ink have no row.  glyphs: sample, cluster, x0..y1; spans: sample, word, start, end."""
+    without ink have no row.  glyphs: sample, cluster, x0..y1; spans: sample, word, start, end.
+    Dealt by sample, as in ``claim_words``."""
     on = (glyphs[sample] == spans[sample]) & (F.col("start") <= F.col("cluster")) & (F.col("cluster") < F.col("end"))
-    return glyphs.join(spans, on).drop(glyphs[sample]).groupBy(sample, "word").agg(*union_box())
+    return glyphs.join(spans.hint("merge"), on).drop(glyphs[sample]).groupBy(sample, "word").agg(*union_box())
 
 
 def union_box() -> list[Column]:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from scriptorium import queries
 from scriptorium.functions import scalars as S
 from scriptorium.operators import audit as A
 from scriptorium.operators import boxes as B
@@ -30,6 +31,15 @@ def test_claims_and_leftovers(spark):
     assert rows(left.select("word_id")) == [(2,)]
 
 
+@pytest.mark.parametrize("name", ["join_claim_words", "join_unassigned_words", "join_glyph_words"])
+def test_exploded_sides_are_not_broadcast(spark, tmp_path, name):
+    spark.sql("select id as o_orderkey from range(100)").write.parquet(str(tmp_path / "orders.parquet"))
+    items = "select id % 100 as l_orderkey, id as l_partkey, id as l_suppkey, cast(id % 7 as int) as l_linenumber, cast(id as double) as l_quantity from range(300)"
+    spark.sql(items).write.parquet(str(tmp_path / "lineitem.parquet"))
+    plan = queries.QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_glyphs_and_as_of(spark):
     glyphs = spark.createDataFrame([(1, 0, 0, 0, 5, 9), (1, 4, 4, 1, 9, 8), (1, 5, 7, 0, 8, 8)], "sample int, cluster int, x0 int, y0 int, x1 int, y1 int")
     spans = spark.createDataFrame([(1, 0, 0, 5), (1, 1, 6, 9)], "sample int, word int, start int, end int")
