@@ -3,8 +3,10 @@
 import re
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.util import PythonEvalType
 
 from scriptorium.functions import text as X
 from scriptorium.operators import filters as L
@@ -115,3 +117,29 @@ def _trim(w):
     while w and bad(w[-1]):
         w = w[:-1]
     return w
+
+
+def test_word_spans_over_many_lists(spark):
+    texts = [None if i % 7 == 3 else " \u00e9\U0001d4b3 " * (i % 5) + f"w{i}\n" for i in range(700)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1)
+    for i, got in df.select("i", K.word_spans(F.col("t"))).collect():
+        assert (None if got is None else [tuple(x) for x in got]) == (None if texts[i] is None else [(m[0], m.start(), m.end()) for m in re.finditer(r"\S+", texts[i])])
+
+
+@pytest.mark.parametrize("build", [lambda c: K.word_spans(c), lambda c: X.apply_chain(c, ["nfc"]), lambda c: X.apply_chain(c, [{"long_s_medial": {"probability": 0.5}}], key=c)])
+def test_batches_stay_arrow(spark, build):
+    """Pandas would hold each text or word of a batch as a Python object."""
+    plan = spark.createDataFrame([("a",)], "t string").select(build(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(rf"ArrowEvalPython .*, {PythonEvalType.SQL_SCALAR_ARROW_UDF}\n", plan)
+
+
+def test_only_a_few_texts_at_once(monkeypatch):
+    monkeypatch.setattr(X, "AT_ONCE", 5)
+    texts = ["abc", None, "defghij", "", "k"] * 3
+    assert X._few_at_once(lambda t, k: t.upper() + k, pa.array(texts), pa.array(["x"] * 15)).to_pylist() == [None if t is None else t.upper() + "x" for t in texts]
+    assert X._few_at_once(str, pa.array([], pa.string())).to_pylist() == []
+
+
+def test_plain_texts_do_not_leave_the_jvm(spark):
+    plan = spark.createDataFrame([("a",)], "t string").select(X.apply_chain(F.col("t"), ["nfc"]))._jdf.queryExecution().optimizedPlan().toString()
+    assert "run(CASE WHEN" in plan
