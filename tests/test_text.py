@@ -136,8 +136,8 @@ def test_batches_stay_arrow(spark, build):
 def test_only_a_few_texts_at_once(monkeypatch):
     monkeypatch.setattr(X, "AT_ONCE", 5)
     texts = ["abc", None, "defghij", "", "k"] * 3
-    assert X._few_at_once(lambda t, k: t.upper() + k, pa.array(texts), pa.array(["x"] * 15)).to_pylist() == [None if t is None else t.upper() + "x" for t in texts]
-    assert X._few_at_once(str, pa.array([], pa.string())).to_pylist() == []
+    assert X._few_at_once(lambda t, k: t.upper() + k)(pa.array(texts), pa.array(["x"] * 15)).to_pylist() == [None if t is None else t.upper() + "x" for t in texts]
+    assert X._few_at_once(str)(pa.array([], pa.string())).to_pylist() == []
 
 
 def test_plain_texts_do_not_leave_the_jvm(spark):
