@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_of
+from .common import column_of, give_back
 from .tokens import PieceCache, slices
 
 
@@ -131,6 +131,7 @@ def _encode(path: str, pattern: str, full: bool):
                     digest = lambda x: hashlib.sha256(x).hexdigest()
                     out = [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(map(digest, ids), pa.string()), pa.array([digest(decode_ids(x, pieces)) for x in ids], pa.string())]
                     yield pa.record_batch([*rest, *out], names=[*names, "n_tokens", "ids_sha256", "decoded_sha256"])
+                give_back()
 
     return run
 

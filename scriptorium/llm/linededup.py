@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE_BYTES, Scratch, column_of
+from .common import SPACE_BYTES, Scratch, column_of, giving_back
 
 KEY, DOCS = "line_key", "line_docs"
 #: Key rows of a bucket, for tables too small for a bucket a shuffle partition.
@@ -71,7 +71,7 @@ def keys_of(docs: DataFrame, batches: int = 1, id_col: str = "doc_id", text: str
     """(id, digest, batch, line_key); ``batch`` by a hash of the id."""
     kind = docs.schema[id_col].dataType.simpleString()
     part = F.pmod(F.xxhash64(F.col(id_col)), F.lit(batches)).cast("int")
-    return docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), part.alias("batch")).mapInArrow(_keys, f"id {kind}, digest binary, batch int, {KEY} binary")
+    return docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), part.alias("batch")).mapInArrow(giving_back(_keys), f"id {kind}, digest binary, batch int, {KEY} binary")
 
 
 @contextlib.contextmanager
@@ -207,7 +207,7 @@ def split_lines(docs: DataFrame, min_docs: int = 10, batches: int = 4, id_col: s
     own = F.when(ident.isNull(), F.unhex(F.md5(body)))
     joined = named.join(per_doc, ident.eqNullSafe(F.col("id")) & own.eqNullSafe(F.col("digest")), "left").select(body.alias("line_text"), "line_drop", *named.columns)
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in named.schema)
-    out = joined.mapInArrow(_apply, f"{fields}, line_n bigint, line_gone bigint, line_kept string")
+    out = joined.mapInArrow(giving_back(_apply), f"{fields}, line_n bigint, line_gone bigint, line_kept string")
     return out.toDF(*docs.columns, *[column_of(docs, c) for c in ("line_n", "line_gone", "line_kept")])
 
 

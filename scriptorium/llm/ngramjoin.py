@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, giving_back
 from .graph import components
 
 PERCENT, WORDS = 80, 5
@@ -251,7 +251,7 @@ class NgramJoin:
         self.scratch = Scratch(docs.sparkSession, "ngramjoin")
 
     def _order(self, scanned: DataFrame) -> Order:
-        parts = scanned.where(F.col("chunk").isNotNull()).select("chunk", "counts").repartition(WIDTH // CHUNK, "chunk").mapInArrow(_sum_chunks, "chunk int, counts binary")
+        parts = scanned.where(F.col("chunk").isNotNull()).select("chunk", "counts").repartition(WIDTH // CHUNK, "chunk").mapInArrow(giving_back(_sum_chunks), "chunk int, counts binary")
         levels = np.zeros(WIDTH, np.uint8)
         for row in parts.collect():  # WIDTH bytes, whatever the input's size
             levels[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(bytes(row["counts"]), np.uint8)
@@ -305,18 +305,18 @@ class NgramJoin:
         dealt = wanted.join(texts, F.col("id.rep") == F.col("doc_id")).select("a", "part", "head", "id", "text")
         dealt = dealt.repartition("a", "part").sortWithinPartitions("a", "part", F.col("head").desc())
         kind = pairs.schema["a"].dataType.simpleString()
-        return self.scratch.write(dealt.select("head", "id", "text").mapInArrow(_verify(order, self.percent), f"u {kind}, v {kind}"), "links")
+        return self.scratch.write(dealt.select("head", "id", "text").mapInArrow(giving_back(_verify(order, self.percent)), f"u {kind}, v {kind}"), "links")
 
     def rows(self) -> DataFrame:
         """doc_id, n, hi, lo, id (the class) and component (its least class) of every row; class
         and component are null for rows without words."""
         put, percent = self.scratch.write, self.percent
-        scanned = put(self.docs.mapInArrow(_classes(), f"doc_id {self.kind}, n bigint, hi bigint, lo bigint, chunk int, counts binary"), "classes")
+        scanned = put(self.docs.mapInArrow(giving_back(_classes()), f"doc_id {self.kind}, n bigint, hi bigint, lo bigint, chunk int, counts binary"), "classes")
         order = self._order(scanned)
         rows = scanned.where(F.col("chunk").isNull()).select("doc_id", "n", "hi", "lo")
         reps = rows.where("n > 0").groupBy("hi", "lo", "n").agg(F.min("doc_id").alias("rep"))
         reps = put(reps.select(F.struct("rep", "hi", "lo", "n").alias("id")), "reps")
-        prefix = put(self.docs.select("text").mapInArrow(_prefixes(order, percent), "token bigint, hi bigint, n bigint, pos int"), "prefix")
+        prefix = put(self.docs.select("text").mapInArrow(giving_back(_prefixes(order, percent)), "token bigint, hi bigint, n bigint, pos int"), "prefix")
         shared = put(self._shared(prefix, reps), "lists")
         self.scratch.drop_df(prefix)
         lists = put(self._centred(shared), "kept")
@@ -405,7 +405,7 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # Ids of which some texts stay: those rows are told apart by their words.
     mixed = docs.join(partly, docs["doc_id"] == partly["gone_id"], "left_semi")
     fields = ", ".join(f"`c{i}` {f.dataType.simpleString()}" for i, f in enumerate(mixed.schema))
-    named = mixed.select(F.col("text").alias("_t"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(mixed.columns)]).mapInArrow(_with_class, f"{fields}, class_hi bigint, class_lo bigint")
+    named = mixed.select(F.col("text").alias("_t"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(mixed.columns)]).mapInArrow(giving_back(_with_class), f"{fields}, class_hi bigint, class_lo bigint")
     stay = rows.where(~F.col("gone")).select(F.col("doc_id").alias("stay"), "hi", "lo")
     at = f"c{docs.columns.index('doc_id')}"
     kept = named.join(stay, (F.col(at) == F.col("stay")) & (F.col("class_hi") == F.col("hi")) & (F.col("class_lo") == F.col("lo")), "left_semi")

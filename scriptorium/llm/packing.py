@@ -28,13 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import give_back
 from .tokens import PieceCache, slices
 
 _PIECE = "doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
-#: Pieces that are encoded as one text.
-JOINED = 128
+#: Pieces that are encoded as one text; such texts in one call.
+JOINED, GROUPS = 128, 16
 
 
 def json_encoder(path: str):
@@ -80,12 +81,14 @@ def json_encoder(path: str):
         several = [p for p, ok in zip(pieces, fits) if ok]
         groups = [several[k : k + JOINED] for k in range(0, len(several), JOINED)]
         rest = [p for p, ok in zip(pieces, fits) if not ok]
-        for group, e in zip(groups, tok.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)):
-            parts = parted(group, e.ids)
-            if parts is None:
-                rest += group
-            else:
-                found.update(zip(group, parts))
+        for k in range(0, len(groups), GROUPS):  # the library's results take some 100 bytes a token
+            some = groups[k : k + GROUPS]
+            for group, e in zip(some, tok.encode_batch_fast(["".join(g) for g in some], add_special_tokens=False)):
+                parts = parted(group, e.ids)
+                if parts is None:
+                    rest += group
+                else:
+                    found.update(zip(group, parts))
         found.update(zip(rest, alone(rest)))
         return [found[p] for p in pieces]
 
@@ -128,6 +131,8 @@ def _encode(path: str, capacity: int):
                         done += n
                 arrays = [batch.column(0).take(pa.array(index, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))]
                 yield pa.record_batch(arrays, names=["doc_id", "piece", "start", "length", "ids_crc32"])
+                del texts, ids, arrays
+                give_back()
 
     return run
 
